@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from recordlens.functions import text as T  # noqa: E402
+from recordlens.operators.sinks import stored  # noqa: E402
 from recordlens.plans import audit, customers, emails, records, weekly  # noqa: E402
 from recordlens.session import work_dir  # noqa: E402
 from recordlens.sources import fixtures as fx  # noqa: E402
@@ -46,21 +47,29 @@ class Inputs:
     def matched(self) -> DataFrame:
         return audit.audit_match(self.trials(), self.catalog, self.contact)
 
+    def match_table(self) -> DataFrame:
+        """The match as a table: every later step of a run starts from it."""
+        return stored(self.matched(), work_dir(self.spark, "match"))
+
     def enriched(self, matched: DataFrame) -> DataFrame:
         return audit.audit_enrich(audit.audit_slugs(matched), self.payload)
 
-    def people_cov(self, matched: DataFrame) -> DataFrame:
-        return audit.people_coverage(matched, self.people, self.enriched(matched))
+    def people_cov(self, matched: DataFrame, enriched: DataFrame) -> DataFrame:
+        return audit.people_coverage(matched, self.people, enriched)
 
-    def location_cov(self, matched: DataFrame) -> DataFrame:
-        return audit.location_coverage(matched, self.region, self.enriched(matched))
+    def location_cov(self, matched: DataFrame, enriched: DataFrame) -> DataFrame:
+        return audit.location_coverage(matched, self.region, enriched)
 
     def gaps(self, matched: DataFrame) -> DataFrame:
-        fields = audit.field_coverage(matched)
-        return audit.gap_summary(fields, self.people_cov(matched), self.location_cov(matched))
+        enriched = stored(self.enriched(matched), work_dir(self.spark, "enriched"))
+        return audit.gap_summary(
+            audit.field_coverage(matched),
+            self.people_cov(matched, enriched),
+            self.location_cov(matched, enriched),
+        )
 
     def scores(self, entity: str = "domain") -> DataFrame:
-        matched = self.matched()
+        matched = self.match_table()
         return audit.quality_score(self.gaps(matched), matched, entity)
 
     def persons(self) -> DataFrame:
@@ -144,9 +153,9 @@ _JOBS: dict[str, Callable[[Inputs], DataFrame]] = {
     "audit_slugs": lambda i: audit.audit_slugs(i.matched()),
     "audit_enrich": lambda i: i.enriched(i.matched()),
     "audit_field_coverage": lambda i: audit.field_coverage(i.matched()),
-    "audit_people_coverage": lambda i: i.people_cov(i.matched()),
-    "audit_location_coverage": lambda i: i.location_cov(i.matched()),
-    "audit_gap_summary": lambda i: i.gaps(i.matched()),
+    "audit_people_coverage": lambda i: i.people_cov(m := i.match_table(), i.enriched(m)),
+    "audit_location_coverage": lambda i: i.location_cov(m := i.match_table(), i.enriched(m)),
+    "audit_gap_summary": lambda i: i.gaps(i.match_table()),
     "audit_quality_score": lambda i: i.scores(),
     "audit_quality_score_by_trial": lambda i: i.scores("trial_id").select(
         "trial_id", "market", "quality_score", "direction"

@@ -20,23 +20,27 @@ def int_div(a: Column, b: Column) -> Column:
 
 
 def pct(part: Column, whole: Column) -> Column:
-    """100 * part / whole with two digits; NULL when whole is NULL or 0."""
-    part, whole = part.cast("bigint"), F.nullif(whole.cast("bigint"), F.lit(0).cast("bigint"))
-    size = int_div(F.abs(part) * 20000 + whole, whole * 2).cast("double") / 100
-    return F.when(part < 0, -size).otherwise(size)
+    """100 * part / whole with two digits, for counts; NULL when whole is NULL or 0."""
+    whole = F.nullif(whole, F.lit(0))
+    return int_div(part.cast("bigint") * 20000 + whole, whole * 2) / 100
+
+
+def signed_pct(part: Column, whole: Column) -> Column:
+    """As pct, for a part that may be negative: the size is rounded, not the value."""
+    return pct(F.abs(part), whole) * F.signum(part.cast("double"))
 
 
 def mean_pct(c: Column, digits: int = 2) -> Column:
     """Average of a two-digit percent column, exact, rounded to 1 or 2 digits."""
     total = F.sum(F.round(c * 100).cast("bigint"))
     step = 10 ** (2 - digits)
-    count = F.nullif(F.count(c), F.lit(0).cast("bigint"))
-    return int_div(total * 2 + count * step, count * (2 * step)).cast("double") / 10**digits
+    count = F.nullif(F.count(c), F.lit(0))
+    return int_div(total * 2 + count * step, count * (2 * step)) / 10**digits
 
 
 def round2(c: Column) -> Column:
     """Two digits, halves up; for values that are not negative."""
-    return F.floor(c * 100 + 0.5).cast("double") / 100
+    return F.floor(c * 100 + 0.5) / 100
 
 
 def clamp(c: Column, low: float = 0.0, high: float = 100.0) -> Column:
@@ -49,10 +53,6 @@ def flag(condition: Column) -> Column:
     return F.when(condition, F.lit(1)).otherwise(F.lit(0))
 
 
-def count_if(condition: Column) -> Column:
-    return F.coalesce(F.sum(flag(condition)), F.lit(0).cast("bigint"))
-
-
 def quality_band(score: Column) -> Column:
     cases = [(score >= low, name) for low, name in K.QUALITY_BANDS]
     first = F.when(cases[0][0], cases[0][1])

@@ -83,6 +83,16 @@ def rebuild(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """Write a step's result once and go on from the written table.
+
+    Later steps read it instead of computing it again, and losing an executor
+    costs them a read, not the whole chain.
+    """
+    rebuild(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def upsert_ignore(rows: DataFrame, path: str) -> int:
     """Append payload records that are new; the number of rows really written."""
     written = Observation()

@@ -70,7 +70,7 @@ def audit_match(
     usable = usable_catalog(catalog, require_profile)
     hits = match_domains(trials, usable, prefer_exact)
     profiles = (
-        hits.join(catalog_fields(usable), "catalog_id")
+        hits.join(catalog_fields(catalog), "catalog_id")
         .join(contact_summary(contacts), F.col("catalog_id") == F.col("company_id"), "left")
         .drop("company_id")
     )
@@ -332,20 +332,20 @@ def overall_run(scores: DataFrame) -> DataFrame:
         F.max(M.flag(matched)).alias("is_matched"),
         F.count("*").alias("rows"),
         F.sum(F.when(matched, F.round(F.col("quality_score") * 100).cast("bigint"))).alias("points"),
-        M.count_if(matched).alias("scored"),
+        F.count_if(matched).alias("scored"),
         *[
-            M.count_if(F.col("quality_status") == band).alias(_column(band))
+            F.count_if(F.col("quality_status") == band).alias(_column(band))
             for band in _bands()
         ],
         *[
-            M.count_if(F.col("direction") == d).alias(_column(d))
+            F.count_if(F.col("direction") == d).alias(_column(d))
             for d in ("IMPROVED", "DECLINED", "STABLE", "FIRST_RUN")
         ],
     )
     total, hit = F.count("*"), F.sum("is_matched")
     # mean of two-digit scores, exact: points are hundredths
-    n = F.nullif(F.sum("scored"), F.lit(0).cast("bigint"))
-    mean = M.int_div(F.sum("points") * 2 + n, n * 2).cast("double") / 100
+    n = F.nullif(F.sum("scored"), F.lit(0))
+    mean = M.int_div(F.sum("points") * 2 + n, n * 2) / 100
     names = [*map(_column, _bands()), "improved_count", "declined_count", "stable_count", "first_run_count"]
     return per_trial.groupBy("run_id", "run_date").agg(
         total.alias("companies_audited"),

@@ -141,7 +141,7 @@ def staging(
     )
     # company details meet the few matched domains, then the customers once
     profiles = (
-        hits.join(catalog_fields(usable), "catalog_id")
+        hits.join(catalog_fields(catalog), "catalog_id")
         .join(contact_summary(contacts), F.col("catalog_id") == F.col("company_id"), "left")
         .drop("company_id")
         .join(people_summary(people), F.col("catalog_id") == F.col("company_id"), "left")
@@ -179,7 +179,7 @@ def _coverage(matched: Column) -> list[Column]:
         rows = F.sum(F.when(matched, F.lit(len(fields))))
         out.append(M.pct(total, rows).alias(f"{group}_coverage_pct"))
     with_people = matched & (F.col("people_count") > 0)
-    share = M.pct(M.count_if(with_people), M.count_if(matched))
+    share = M.pct(F.count_if(with_people), F.count_if(matched))
     return [*out, share.alias("people_coverage_pct")]
 
 
@@ -187,9 +187,9 @@ def _counts() -> list[Column]:
     matched = F.col("match_status") == MATCHED
     return [
         F.count("*").alias("total_customers"),
-        M.count_if(matched).alias("matched_count"),
-        M.count_if(~matched).alias("unmatched_count"),
-        M.pct(M.count_if(matched), F.count("*")).alias("matched_pct"),
+        F.count_if(matched).alias("matched_count"),
+        F.count_if(~matched).alias("unmatched_count"),
+        M.pct(F.count_if(matched), F.count("*")).alias("matched_pct"),
         *_coverage(matched),
         F.sum(F.coalesce("people_count", F.lit(0))).alias("total_people"),
     ]
@@ -206,10 +206,10 @@ def _monitoring(staged: DataFrame, keys: list[str]) -> DataFrame:
     return staged.groupBy(*keys).agg(
         *_counts(),
         F.countDistinct("catalog_hq_country").alias("total_markets"),
-        M.count_if(matched & people).alias("matched_with_people_count"),
-        M.count_if(active & matched).alias("active_matched_count"),
-        M.count_if(active & ~matched).alias("active_unmatched_count"),
-        M.count_if(active & matched & people).alias("active_matched_with_people_count"),
+        F.count_if(matched & people).alias("matched_with_people_count"),
+        F.count_if(active & matched).alias("active_matched_count"),
+        F.count_if(active & ~matched).alias("active_unmatched_count"),
+        F.count_if(active & matched & people).alias("active_matched_with_people_count"),
     )
 
 
@@ -283,7 +283,7 @@ def field_percent_by_month(staged: DataFrame) -> DataFrame:
     """Percent of matched rows with each field, one column per field."""
     matched = F.col("match_status") == MATCHED
     shares = [
-        M.pct(M.count_if(matched & field_present(f)), M.count_if(matched)).alias(f"{f}_coverage_pct")
+        M.pct(F.count_if(matched & field_present(f)), F.count_if(matched)).alias(f"{f}_coverage_pct")
         for f in FIELDS
     ]
     keys = ["run_year", "run_month", "run_month_name"]

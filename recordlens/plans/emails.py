@@ -72,7 +72,7 @@ def types_by_country(emails: DataFrame, rules: str = "regional", match: str = "f
 
 def system_rate(emails: DataFrame, limit: int = 20) -> DataFrame:
     """Countries with the highest share of system addresses."""
-    system = M.count_if(E.is_system(F.col("email")))
+    system = F.count_if(E.is_system(F.col("email")))
     return (
         well_formed(emails)
         .groupBy(_country())
@@ -94,14 +94,14 @@ def verification(emails: DataFrame) -> DataFrame:
 def _verification_counts() -> list[Column]:
     status = F.col("verification_status")
     known = [
-        M.count_if(F.trim(status) == s).alias(s.lower().replace(" ", "_"))
+        F.count_if(F.trim(status) == s).alias(s.lower().replace(" ", "_"))
         for s in K.VERIFICATION_STATES
     ]
-    return [M.count_if(T.is_blank(status)).alias("unverified"), *known]
+    return [F.count_if(T.is_blank(status)).alias("unverified"), *known]
 
 
 def verification_by_country(emails: DataFrame) -> DataFrame:
-    unverified = M.count_if(T.is_blank(F.col("verification_status")))
+    unverified = F.count_if(T.is_blank(F.col("verification_status")))
     return in_markets(emails).groupBy("country").agg(
         F.count("*").alias("total"),
         *_verification_counts(),
@@ -138,9 +138,9 @@ def source_breakdown(emails: DataFrame) -> DataFrame:
 def excessive(emails: DataFrame, limit: int = K.MAX_EMAILS_PER_COMPANY) -> DataFrame:
     """Companies with more than ``limit`` addresses in a country."""
     per_company = emails.groupBy("id", _country()).agg(
-        M.count_if(T.has_text(F.col("email"))).alias("n")
+        F.count_if(T.has_text(F.col("email"))).alias("n")
     )
-    over = M.count_if(F.col("n") > limit)
+    over = F.count_if(F.col("n") > limit)
     return per_company.groupBy("country").agg(
         F.count("*").alias("company_country_pairs"),
         over.alias("companies_with_gt5_emails"),
@@ -155,10 +155,10 @@ def duplicates(emails: DataFrame) -> DataFrame:
         .groupBy(E.normal(F.col("email")).alias("address"))
         .agg(F.count("*").alias("n"))
     )
-    repeated = M.count_if(F.col("n") > 1)
+    repeated = F.count_if(F.col("n") > 1)
     return counts.agg(
         F.count("*").alias("total_distinct_emails"),
-        M.count_if(F.col("n") == 1).alias("unique_emails"),
+        F.count_if(F.col("n") == 1).alias("unique_emails"),
         repeated.alias("duplicate_emails"),
         M.pct(repeated, F.count("*")).alias("duplicate_pct"),
     )
@@ -174,10 +174,10 @@ def _companies_per_address(emails: DataFrame, keys: list[str]) -> DataFrame:
 def shared(emails: DataFrame) -> DataFrame:
     """Addresses on one company and on several, by country."""
     per_address = _companies_per_address(in_markets(emails), ["country"])
-    several = M.count_if(F.col("on_n_companies") > 1)
+    several = F.count_if(F.col("on_n_companies") > 1)
     return per_address.groupBy("country").agg(
         F.count("*").alias("distinct_emails"),
-        M.count_if(F.col("on_n_companies") == 1).alias("unique_to_one_co"),
+        F.count_if(F.col("on_n_companies") == 1).alias("unique_to_one_co"),
         several.alias("shared_across_cos"),
         M.pct(several, F.count("*")).alias("pct_shared"),
     )
@@ -218,8 +218,8 @@ def deliverability(deliv: DataFrame) -> DataFrame:
 
 def deliverability_by_country(deliv: DataFrame) -> DataFrame:
     status = F.col("deliverability")
-    states = {s: M.count_if(status == s) for s in K.DELIVERABILITY_STATES}
-    unchecked = M.count_if(status.isNull())
+    states = {s: F.count_if(status == s) for s in K.DELIVERABILITY_STATES}
+    unchecked = F.count_if(status.isNull())
     return in_markets(deliv).groupBy("country").agg(
         F.count("*").alias("total"),
         *[c.alias(s.removeprefix("em-av-").replace("-", "_")) for s, c in states.items()],
@@ -234,10 +234,8 @@ def deliverability_by_country(deliv: DataFrame) -> DataFrame:
 
 def _bit(column: str) -> Column:
     """Bit of a market in a company's market mask; NULL outside the markets."""
-    out = F.lit(None).cast("bigint")
-    for i, market in reversed(list(enumerate(MARKETS))):
-        out = F.when(F.col(column) == market, F.lit(1 << i).cast("bigint")).otherwise(out)
-    return out
+    cases = " ".join(f"WHEN '{m}' THEN {1 << i}L" for i, m in enumerate(MARKETS))
+    return F.expr(f"CASE {column} {cases} END")
 
 
 def market_masks(emails: DataFrame, keys: tuple[str, ...] = ("id",)) -> DataFrame:
@@ -250,10 +248,10 @@ def market_masks(emails: DataFrame, keys: tuple[str, ...] = ("id",)) -> DataFram
     mask = lambda cond: F.bit_or(F.when(cond, bit))
     return emails.groupBy(*keys).agg(
         F.count("email").alias("n_present"),
-        M.count_if(T.has_text(email)).alias("n_text"),
-        F.coalesce(mask(email.isNotNull()), F.lit(0).cast("bigint")).alias("present_mask"),
-        F.coalesce(mask(email.isNull()), F.lit(0).cast("bigint")).alias("absent_mask"),
-        F.coalesce(mask(T.has_text(email)), F.lit(0).cast("bigint")).alias("text_mask"),
+        F.count_if(T.has_text(email)).alias("n_text"),
+        F.coalesce(mask(email.isNotNull()), F.lit(0)).alias("present_mask"),
+        F.coalesce(mask(email.isNull()), F.lit(0)).alias("absent_mask"),
+        F.coalesce(mask(T.has_text(email)), F.lit(0)).alias("text_mask"),
     )
 
 
@@ -294,8 +292,8 @@ def coverage(companies: DataFrame, emails: DataFrame, scope: str = "any") -> Dat
     """
     hub = _hub(companies, scope, published=scope != "hq")
     rows = _with_masks(hub, emails, scope)
-    has, total = M.count_if(F.col("has")), F.count("*")
-    missing = M.count_if(~F.col("has"))
+    has, total = F.count_if(F.col("has")), F.count("*")
+    missing = F.count_if(~F.col("has"))
     out = [
         total.alias("total_companies"),
         has.alias("with_email"),
@@ -304,7 +302,7 @@ def coverage(companies: DataFrame, emails: DataFrame, scope: str = "any") -> Dat
         M.pct(missing, total).alias("pct_missing"),
     ]
     if scope == "hq":
-        out.append(M.count_if(F.col("other")).alias("has_email_other_market"))
+        out.append(F.count_if(F.col("other")).alias("has_email_other_market"))
     return rows.groupBy("country").agg(*out)
 
 
@@ -330,9 +328,9 @@ def fqdn_gap(companies: DataFrame, emails: DataFrame, scope: str = "any") -> Dat
         has, without = F.col("has"), F.col("without")
     return rows.groupBy("country").agg(
         F.count("*").alias("companies_with_fqdn"),
-        M.count_if(without).alias("missing_email"),
-        M.count_if(has).alias("has_email"),
-        M.pct(M.count_if(without), F.count("*")).alias("pct_missing"),
+        F.count_if(without).alias("missing_email"),
+        F.count_if(has).alias("has_email"),
+        M.pct(F.count_if(without), F.count("*")).alias("pct_missing"),
     )
 
 

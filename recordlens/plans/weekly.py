@@ -73,12 +73,12 @@ def _email_sets(emails: DataFrame) -> DataFrame:
     status = F.trim("verification_status")
     folded = in_markets(emails).groupBy("run_date", "country", "id").agg(
         F.count("*").alias("all_rows"),
-        M.count_if(T.has_text(email)).alias("texts"),
-        M.count_if(formed).alias("formed"),
-        *[M.count_if(condition).alias(k) for k, condition in kinds.items()],
-        M.count_if(T.is_blank(F.col("verification_status"))).alias("unverified"),
+        F.count_if(T.has_text(email)).alias("texts"),
+        F.count_if(formed).alias("formed"),
+        *[F.count_if(condition).alias(k) for k, condition in kinds.items()],
+        F.count_if(T.is_blank(F.col("verification_status"))).alias("unverified"),
         *[
-            M.count_if(status == s).alias(s.lower().replace(" ", "_"))
+            F.count_if(status == s).alias(s.lower().replace(" ", "_"))
             for s in K.VERIFICATION_STATES
         ],
     )
@@ -90,7 +90,7 @@ def _email_sets(emails: DataFrame) -> DataFrame:
         *[F.when(some_formed, F.sum(c)).alias(c) for c in kinds],
         *[F.sum(c).alias(c) for c in plain],
         F.count("*").alias("company_country_pairs"),
-        M.count_if(F.col("texts") > K.MAX_EMAILS_PER_COMPANY).alias("companies_gt5_emails"),
+        F.count_if(F.col("texts") > K.MAX_EMAILS_PER_COMPANY).alias("companies_gt5_emails"),
     )
 
 
@@ -105,17 +105,17 @@ def _coverage_sets(companies: DataFrame, emails: DataFrame, runs: DataFrame) ->
     )
     totals = hub.groupBy(F.col("hq_country").alias("country")).agg(
         F.count("*").alias("total_companies"),
-        M.count_if(F.col("has_fqdn")).alias("fqdns"),
+        F.count_if(F.col("has_fqdn")).alias("fqdns"),
     )
     bit = _bit("hq_country")
     joined = market_masks(emails, ("run_date", "id")).join(hub, "id")
     here = has_bit("text_mask", bit)
     fqdn, present, absent = F.col("has_fqdn"), has_bit("present_mask", bit), has_bit("absent_mask", bit)
     seen = joined.groupBy("run_date", F.col("hq_country").alias("country")).agg(
-        M.count_if(here).alias("with_email"),
-        M.count_if(~here & (F.col("n_text") > 0)).alias("has_email_other_market"),
-        M.count_if(fqdn & present).alias("has_fqdn_with_email"),
-        M.count_if(fqdn & present & ~absent).alias("fqdn_only_present"),
+        F.count_if(here).alias("with_email"),
+        F.count_if(~here & (F.col("n_text") > 0)).alias("has_email_other_market"),
+        F.count_if(fqdn & present).alias("has_fqdn_with_email"),
+        F.count_if(fqdn & present & ~absent).alias("fqdn_only_present"),
     )
     zero = F.lit(0).cast("bigint")
     count = lambda c: F.coalesce(F.col(c), zero)
@@ -140,11 +140,11 @@ def _deliverability_set(deliv: DataFrame) -> DataFrame:
     state = F.col("deliverability")
     return in_markets(deliv).groupBy(*RUN).agg(
         F.count("*").alias("deliv_rows"),
-        M.count_if(state == K.UNDELIVERABLE).alias("undeliverable"),
-        M.count_if(state == "em-av-highly-likely").alias("deliv_highly_likely"),
-        M.count_if(state == "em-av-likely").alias("deliv_likely"),
-        M.count_if(state == "em-av-unsure").alias("deliv_unsure"),
-        M.count_if(state.isNull()).alias("not_checked"),
+        F.count_if(state == K.UNDELIVERABLE).alias("undeliverable"),
+        F.count_if(state == "em-av-highly-likely").alias("deliv_highly_likely"),
+        F.count_if(state == "em-av-likely").alias("deliv_likely"),
+        F.count_if(state == "em-av-unsure").alias("deliv_unsure"),
+        F.count_if(state.isNull()).alias("not_checked"),
     )
 
 
@@ -188,8 +188,8 @@ def global_summary(companies: DataFrame, summary: DataFrame) -> DataFrame:
     )
     totals = kinds.agg(
         F.count("*").alias("all"),
-        M.count_if(F.col("in_markets")).alias("markets"),
-        M.count_if(F.col("no_location")).alias("none"),
+        F.count_if(F.col("in_markets")).alias("markets"),
+        F.count_if(F.col("no_location")).alias("none"),
     )
     counts = totals.select(F.struct("*").alias("t")).scalar()
 
@@ -272,7 +272,7 @@ def delta(summary: DataFrame) -> DataFrame:
         .select(
             *RUN, "category", "issue", "prev_count", "curr_count",
             change.alias("delta"),
-            M.pct(change, F.col("prev_count")).alias("delta_pct"),
+            M.signed_pct(change, F.col("prev_count")).alias("delta_pct"),
             F.when(change < 0, "IMPROVED").when(change > 0, "WORSENED").otherwise("NO CHANGE")
             .alias("direction"),
             "root_cause",

@@ -136,9 +136,9 @@ def staging(
     """One row per day and customer domain with its catalog company, if any."""
     latest = latest_per_domain(rows, keep_unkeyed)
     usable = usable_catalog(catalog)
-    hits = match_domains(
-        latest.select(F.col("customer_domain").alias("domain")), usable, prefer_exact
-    )
+    # the latest rows hold the same domains; asking all rows spares their sort
+    domains = rows.select(F.col("customer_domain").alias("domain"))
+    hits = match_domains(domains, usable, prefer_exact)
     # company details meet the few matched domains, then the customers once
     profiles = (
         hits.join(catalog_fields(catalog), "catalog_id")

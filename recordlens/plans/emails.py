@@ -429,7 +429,7 @@ def quality_gate(
 
     An address passes when it is well formed, enabled, not a system address,
     not known as undeliverable (never checked passes), and its root is the root
-    of a published company's host or an allowed exception ``(id, root)``. A
+    of a published company's host or an exception ``(id, root)`` allowed for it. A
     free-provider address passes only for a published company that has no
     well-formed address on its own host in the whole table. Order within a
     company and country: own host, deliverability, specific before role
@@ -445,7 +445,8 @@ def quality_gate(
     own = rows.filter("well_formed").select("id", "root").distinct().join(allowed, ["id", "root"])
     without_own = published.select("id").distinct().join(own.select("id"), "id", "left_anti")
     if exceptions is not None:
-        allowed = allowed.unionByName(exceptions.select("id", "root"))
+        known = exceptions.select("id", "root").join(published.select("id"), "id", "left_semi")
+        allowed = allowed.unionByName(known)
     allowed = allowed.distinct()
 
     kept = rows.filter(F.col("well_formed") & ~E.is_system(email))

@@ -47,9 +47,8 @@ PERCENTS = {
 
 def spine(emails: DataFrame, run_dates: list[str]) -> DataFrame:
     """Every market of every run, also those without data."""
-    rows = [(d, c) for d in run_dates for c in MARKETS]
-    frame = emails.sparkSession.createDataFrame(rows, "run_date string, country string")
-    return frame.select(F.col("run_date").cast("date").alias("run_date"), "country")
+    rows = ", ".join(f"(DATE '{d}', '{c}')" for d in run_dates for c in MARKETS)
+    return emails.sparkSession.sql(f"SELECT * FROM VALUES {rows} AS t(run_date, country)")
 
 
 def _email_sets(emails: DataFrame) -> DataFrame:
@@ -172,7 +171,7 @@ def country_summary(
         _mismatch_set(companies, emails),
     )
     shares = [M.pct(F.col(a), F.col(b)).alias(p) for p, (a, b) in PERCENTS.items()]
-    return sets.join(F.broadcast(runs), RUN, "left_semi").select(*RUN, *COUNTS, *shares)
+    return sets.join(runs, RUN, "left_semi").select(*RUN, *COUNTS, *shares)
 
 
 def global_summary(companies: DataFrame, summary: DataFrame) -> DataFrame:

@@ -17,6 +17,8 @@ def local_session(cores: int | str = "*", app: str = "recordlens") -> SparkSessi
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.dataFrameQueryContext.enabled", "false")
+        .config("spark.sql.codegen.cache.maxEntries", "5000")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

@@ -103,6 +103,11 @@ class Inputs:
         return weekly.delta(self.summary(3))
 
 
+def _flat(df: DataFrame) -> DataFrame:
+    """Names of missing fields as one text, for comparison by value."""
+    return df.withColumn("missing_fields", F.array_join("missing_fields", ","))
+
+
 def _stream(i: Inputs) -> DataFrame:
     """Rows, staging and monitoring of a drained stream, counted per date."""
     tables = Tables(work_dir(i.spark, "stream"))
@@ -152,17 +157,17 @@ _JOBS: dict[str, Callable[[Inputs], DataFrame]] = {
     "audit_match_counts": lambda i: audit.match_counts(i.matched()),
     "audit_slugs": lambda i: audit.audit_slugs(i.matched()),
     "audit_enrich": lambda i: i.enriched(i.matched()),
-    "audit_field_coverage": lambda i: audit.field_coverage(i.matched()),
+    "audit_field_coverage": lambda i: _flat(audit.field_coverage(i.matched())),
     "audit_people_coverage": lambda i: i.people_cov(m := i.match_table(), i.enriched(m)),
     "audit_location_coverage": lambda i: i.location_cov(m := i.match_table(), i.enriched(m)),
-    "audit_gap_summary": lambda i: i.gaps(i.match_table()),
-    "audit_quality_score": lambda i: i.scores(),
+    "audit_gap_summary": lambda i: _flat(i.gaps(i.match_table())),
+    "audit_quality_score": lambda i: _flat(i.scores()),
     "audit_quality_score_by_trial": lambda i: i.scores("trial_id").select(
         "trial_id", "market", "quality_score", "direction"
     ),
     "audit_overall_run": lambda i: audit.overall_run(i.scores()),
     "audit_by_market": lambda i: audit.by_market(i.scores()),
-    "audit_dashboard": lambda i: audit.dashboard(i.scores(), i.trials()),
+    "audit_dashboard": lambda i: _flat(audit.dashboard(i.scores(), i.trials())),
     # record monitoring
     "records_mark_duplicates": lambda i: i.persons().select("row_no", "source", "country", "slug", "status"),
     "records_mark_company_duplicates": lambda i: i.companies_in().select("row_no", "company", "slug", "status"),
@@ -225,6 +230,7 @@ _JOBS: dict[str, Callable[[Inputs], DataFrame]] = {
         i.company, i.email, i.deliverability, require_enabled=False,
         exceptions=i.company.filter(F.col("hq_country") == "KR").select("id", F.lit("other").alias("root")),
     ),
+    "email_top_per_company": lambda i: emails.top_per_company(i.email, i.deliverability),
     "email_dedupe_shared": lambda i: emails.dedupe_shared(i.company, i.email),
     "email_suppress": lambda i: emails.suppress(i.email, i.deliverability),
     "email_verifier_queue": lambda i: emails.verifier_queue(i.email),

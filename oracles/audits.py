@@ -53,7 +53,7 @@ FIELD = ("fields", f"""
         {', '.join(f'CAST({present(f, FIELDS)} AS INTEGER) AS {f}_covered' for f in FIELDS)},
         {pct(_PRESENT, '9')} AS field_coverage_pct,
         9 - ({_PRESENT}) AS fields_missing_count,
-        list_filter([{_MISSING}], lambda x: x IS NOT NULL) AS missing_fields
+        array_to_string(list_filter([{_MISSING}], lambda x: x IS NOT NULL), ',') AS missing_fields
     FROM matched WHERE match_status = 'MATCHED'""")
 _SHARE = f"least(greatest({pct('people_count', 'headcount')}, 0.0), 100.0)"
 PEOPLE = ("people_cov", f"""

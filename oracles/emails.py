@@ -200,6 +200,15 @@ def queries() -> dict[str, str]:
         "email_domain_mismatch_hq": hub(_mismatch("hq")),
         "email_quality_gate": query("f_company f_email f_deliverability", [], _gate(False)),
         "email_quality_gate_open": query("f_company f_email f_deliverability", [], _gate(True)),
+        "email_top_per_company": query("f_email f_deliverability", [], f"""
+            SELECT id, country, email_row_id, clean AS email, email_type, deliverability_rank FROM (
+                SELECT e.id, e.country, e.email_row_id, lower(trim(e.email)) AS clean, {REGIONAL_TYPE} AS email_type,
+                    CASE d.deliverability WHEN 'em-av-highly-likely' THEN 0 WHEN 'em-av-likely' THEN 1
+                        WHEN 'em-av-unsure' THEN 2 ELSE 3 END AS deliverability_rank
+                FROM f_email e LEFT JOIN f_deliverability d USING (email_row_id) WHERE {HAS_TEXT})
+            QUALIFY row_number() OVER (PARTITION BY id ORDER BY
+                array_position(['specific_company', 'generic_role_based', 'free_provider', 'system_blocked'], email_type),
+                deliverability_rank, clean, email_row_id) <= 5"""),
         "email_dedupe_shared": hub(f"""
             SELECT e.id, e.country, e.email_row_id, lower(trim(e.email)) AS email FROM f_email e
             LEFT JOIN f_company c ON c.id = e.id AND c.fqdn LIKE '%.%'

@@ -7,12 +7,20 @@ from pyspark.sql import functions as F
 
 from recordlens import constants as K
 
-_NUMBER = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+_NUMBER = r"^\s*[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?\s*$"
+_LARGEST = 1.7976931348623157e308
+
+
+# every character that counts as white space in a text file
+_SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip(c: Column) -> Column:
     """Trim every kind of white space, not only blanks as SQL trim does."""
-    return F.regexp_replace(c, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    return F.btrim(c, F.lit(_SPACES))
 
 
 def is_blank(c: Column) -> Column:
@@ -60,16 +68,19 @@ def md5_key(*parts: Column) -> Column:
     return F.md5(F.concat(*[F.coalesce(p.cast("string"), F.lit("")) for p in parts]))
 
 
+def _number(raw: Column) -> Column:
+    return F.when(raw.rlike(_NUMBER), raw.try_cast("double"))
+
+
 def safe_float(raw: Column) -> Column:
     """Number in a text field, NULL when it is not a finite number."""
-    text = strip(raw)
-    value = F.when(text.rlike(_NUMBER), text.try_cast("double"))
-    return F.when(F.abs(value) < float("inf"), value)
+    value = _number(raw)
+    return F.when(value.between(-_LARGEST, _LARGEST), value)
 
 
 def safe_int(raw: Column) -> Column:
-    """As safe_float, cut toward zero."""
-    return safe_float(raw).try_cast("bigint")
+    """Number in a text field cut toward zero, NULL when it is not one or does not fit."""
+    return _number(raw).try_cast("bigint")
 
 
 def first_map_value(json: Column) -> Column:

@@ -6,6 +6,9 @@ Spark; its output appears only when the whole write is committed.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -25,10 +28,8 @@ def missing_rows(batch: DataFrame, stored: DataFrame | None, keys: list[str]) ->
     """Rows of the batch whose key is not stored; NULL key parts are equal."""
     if stored is None:
         return batch
-    other = stored.select(*[F.col(k).alias(f"_{k}") for k in keys])
-    same = F.lit(True)
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    other = stored.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
     return batch.join(other, same, "left_anti")
 
 

@@ -254,7 +254,8 @@ def gap_summary(
     )
 
 
-def _scores(gaps: DataFrame, matched: DataFrame) -> DataFrame:
+def run_scores(gaps: DataFrame, matched: DataFrame) -> DataFrame:
+    """Scores without a look at earlier runs; unmatched trials have fixed values."""
     parts = F.col("field_coverage_pct") + F.col("people_coverage_pct") + F.col("location_coverage_pct")
     scored = gaps.select(
         *TRIAL, "run_date", "domain", "crm_name", "customer_id", "catalog_id",
@@ -286,7 +287,7 @@ def quality_score(gaps: DataFrame, matched: DataFrame, entity: str = "domain") -
     Unmatched trials have fixed values and no history.
     """
     known = F.col("match_status") == MATCHED
-    history = _scores(gaps, matched).withColumn("known", known)
+    history = run_scores(gaps, matched).withColumn("known", known)
     w = Window.partitionBy(entity, "market", "known").orderBy("run_date", "run_id")
     prior = F.when(known, F.lag("quality_score").over(w))
     change = F.round(F.col("quality_score") - F.col("prev_quality_score"), 2)
@@ -303,10 +304,12 @@ def quality_score(gaps: DataFrame, matched: DataFrame, entity: str = "domain") -
 def with_prior(current: DataFrame, history: DataFrame, entity: str = "domain") -> DataFrame:
     """Change of one run's scores against stored history, for incremental use.
 
-    The prior score is the latest of another run; NULL markets are equal here.
+    The prior score is that of the last earlier run; NULL markets are equal
+    here. Only matched trials have a history.
     """
+    first = current.agg(F.min("run_date")).scalar()
     last = (
-        history.join(current.select("run_id").distinct(), "run_id", "left_anti")
+        history.filter((F.col("match_status") == MATCHED) & (F.col("run_date") < first))
         .groupBy(entity, "market")
         .agg(F.max(F.struct("run_date", "run_id", "quality_score")).alias("last"))
         .select(
@@ -315,12 +318,17 @@ def with_prior(current: DataFrame, history: DataFrame, entity: str = "domain") -
             F.col("last.quality_score").alias("prev_quality_score"),
         )
     )
-    same = (F.col(entity) == F.col("_entity")) & F.col("market").eqNullSafe(F.col("_market"))
+    same = (
+        (F.col(entity) == F.col("_entity"))
+        & F.col("market").eqNullSafe(F.col("_market"))
+        & (F.col("match_status") == MATCHED)
+    )
     change = F.round(F.col("quality_score") - F.col("prev_quality_score"), 2)
     return (
         current.join(last, same, "left")
         .drop("_entity", "_market")
         .withColumn("quality_delta", change)
+        .withColumn("quality_status", M.quality_band(F.col("quality_score")))
         .withColumn("direction", M.direction(F.col("quality_delta")))
     )
 

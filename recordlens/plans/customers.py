@@ -50,11 +50,11 @@ def ingest(export: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
     No row is dropped: a row without a usable domain keeps a NULL domain.
     """
+    heads = [head for head, *_ in K.EXPORT_COLUMNS]
+    trimmed = export.select("run_date", *keep, *[T.strip(F.col(h)).alias(h) for h in heads])
     kinds = {"text": lambda c: c, "int": T.safe_int, "float": T.safe_float}
-    clean = [
-        kinds[kind](T.strip(F.col(head))).alias(name) for head, name, kind in K.EXPORT_COLUMNS
-    ]
-    rows = export.select("run_date", *keep, *clean).withColumn(
+    typed = [kinds[kind](F.col(head)).alias(name) for head, name, kind in K.EXPORT_COLUMNS]
+    rows = trimmed.select("run_date", *keep, *typed).withColumn(
         "customer_domain", T.clean_domain(F.col("customer_domain_raw"))
     )
     return rows.withColumn(
@@ -79,6 +79,12 @@ def contact_summary(contacts: DataFrame) -> DataFrame:
     )
 
 
+def people_of_profiles(profiles: DataFrame) -> DataFrame:
+    """(id, company_id) of people whose company is a JSON object with an ``id``."""
+    company = T.json_text(F.col("current_company"), "$.id")
+    return profiles.select("id", company.alias("company_id"))
+
+
 def people_summary(people: DataFrame) -> DataFrame:
     return (
         people.filter(F.col("company_id").isNotNull())

@@ -232,7 +232,7 @@ def deliverability_by_country(deliv: DataFrame) -> DataFrame:
 # --- joins with the company hub ----------------------------------------------------
 
 
-def _bit(column: str) -> Column:
+def market_bit(column: str) -> Column:
     """Bit of a market in a company's market mask; NULL outside the markets."""
     cases = " ".join(f"WHEN '{m}' THEN {1 << i}L" for i, m in enumerate(MARKETS))
     return F.expr(f"CASE {column} {cases} END")
@@ -244,7 +244,7 @@ def market_masks(emails: DataFrame, keys: tuple[str, ...] = ("id",)) -> DataFram
     A mask is one number per company, so this is a hash aggregate with a
     map-side part, however many rows a company has.
     """
-    email, bit = F.col("email"), _bit("country")
+    email, bit = F.col("email"), market_bit("country")
     mask = lambda cond: F.bit_or(F.when(cond, bit))
     return emails.groupBy(*keys).agg(
         F.count("email").alias("n_present"),
@@ -271,7 +271,7 @@ def _with_masks(hub: DataFrame, emails: DataFrame, scope: str) -> DataFrame:
     """Hub rows with ``has`` (an e-mail in scope) and ``other`` (only elsewhere)."""
     joined = hub.join(market_masks(emails), "id", "left")
     n_text = F.coalesce("n_text", F.lit(0))
-    here = has_bit("text_mask", _bit("country"))
+    here = has_bit("text_mask", market_bit("country"))
     has = {
         "any": F.coalesce("n_present", F.lit(0)) > 0,
         "market_set": F.coalesce("present_mask", F.lit(0)) != 0,
@@ -319,7 +319,7 @@ def fqdn_gap(companies: DataFrame, emails: DataFrame, scope: str = "any") -> Dat
         rows = _with_masks(hub, emails, scope)
         has, without = F.col("has"), ~F.col("has")
     else:
-        bit = _bit("country")
+        bit = market_bit("country")
         joined = hub.join(market_masks(emails), "id", "left")
         present, absent = has_bit("present_mask", bit), has_bit("absent_mask", bit)
         rows = joined.groupBy("id", "country").agg(
@@ -488,6 +488,36 @@ def _deliverability_rank() -> Column:
     )
 
 
+def top_per_company(
+    emails: DataFrame, deliv: DataFrame, top: int = K.MAX_EMAILS_PER_COMPANY
+) -> DataFrame:
+    """The best addresses of every company, for display; nothing is excluded.
+
+    Order: not a system address, not free, specific, deliverability; then the
+    address and the row id, so that ties have an order.
+    """
+    email = F.col("email")
+    kind = F.col("email_type")
+    ranked = (
+        emails.filter(T.has_text(email))
+        .join(deliv.select("email_row_id", "deliverability"), "email_row_id", "left")
+        .select(
+            "id", "country", "email_row_id", E.normal(email).alias("email"),
+            E.type_class(email).alias("email_type"),
+            _deliverability_rank().alias("deliverability_rank"),
+        )
+    )
+    order = [
+        F.when(kind == "system_blocked", 1).otherwise(0),
+        F.when(kind == "free_provider", 1).otherwise(0),
+        F.when(kind == "specific_company", 0).otherwise(1),
+        F.col("deliverability_rank"),
+        F.col("email"),
+        F.col("email_row_id"),
+    ]
+    return keep_top(ranked, ["id"], order, top)
+
+
 def dedupe_shared(
     companies: DataFrame, emails: DataFrame, more_than: int = K.SHARED_ADDRESS_COMPANIES
 ) -> DataFrame:

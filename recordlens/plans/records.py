@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from recordlens import constants as K
 from recordlens.functions import text as T
 from recordlens.operators.rows import keep_top, left_join_sparse, mark_repeats
+from recordlens.operators.sinks import missing_rows
 
+PAYLOAD_KEY = ("platform", "handle", "request_type", "profile_type")
 LANDING = (
     "run_id", "row_no", "source_file", "file_date", "source", "criteria", "full_name", "first_name",
     "last_name", "title", "company", "location", "domain", "profile_link", "country", "slug",
@@ -113,16 +115,8 @@ def upsert_rows(enriched: DataFrame, stored: DataFrame | None, profile_type: str
         T.payload_value(F.col("payload_raw"), "$.post_count", "double").alias("post_count"),
         "row_no",
     )
-    keys = ["platform", "handle", "request_type", "profile_type"]
-    first = keep_top(records, keys, [F.col("row_no")])
-    if stored is not None:
-        same = None
-        other = stored.select(*[F.col(k).alias(f"_{k}") for k in keys])
-        for k in keys:
-            equal = F.col(k).eqNullSafe(F.col(f"_{k}"))
-            same = equal if same is None else same & equal
-        first = first.join(other, same, "left_anti")
-    return first
+    first = keep_top(records, list(PAYLOAD_KEY), [F.col("row_no")])
+    return missing_rows(first, stored, list(PAYLOAD_KEY))
 
 
 def landing_rows(enriched: DataFrame, run_id: Column, file_date: Column) -> DataFrame:

@@ -14,20 +14,12 @@ from recordlens.functions import email as E
 from recordlens.functions import measure as M
 from recordlens.functions import text as T
 from recordlens.operators.rows import stack
-from recordlens.plans.emails import _bit, domain_pairs, has_bit, in_markets, market_masks
+from recordlens.plans.emails import market_bit, domain_pairs, has_bit, in_markets, market_masks
+from recordlens.schemas import SUMMARY_COUNTS
 
 MARKETS = K.EMAIL_MARKETS
 RUN = ["run_date", "country"]
 
-COUNTS = [
-    "total_companies", "with_email", "missing_email", "has_email_other_market",
-    "companies_with_fqdn", "has_fqdn_no_email", "has_fqdn_with_email",
-    "total_email_rows", "specific_company", "generic_role_based", "system_blocked", "free_provider",
-    "unverified", "highly_likely", "likely", "unsure",
-    "undeliverable", "deliv_highly_likely", "deliv_likely", "deliv_unsure", "not_checked",
-    "domain_pairs", "domain_match", "domain_mismatch",
-    "company_country_pairs", "companies_gt5_emails",
-]
 # percent -> (part, whole)
 PERCENTS = {
     "pct_with_email": ("with_email", "total_companies"),
@@ -57,11 +49,18 @@ def _email_sets(emails: DataFrame) -> DataFrame:
     Rows fold by (company, country) first; a country that holds most rows then
     is a sum of folded rows.
     """
-    email = F.col("email")
-    formed = E.is_well_formed(email)
-    system, free = E.is_system(email), E.is_free(email, "regional")
+    email, status = F.col("email"), F.trim("verification_status")
+    # each pattern runs once per row: the classes are columns before they are counted
+    tested = in_markets(emails).select(
+        "run_date", "country", "id", "verification_status",
+        T.has_text(email).alias("text"),
+        E.is_well_formed(email).alias("formed"),
+        E.is_system(email).alias("system"),
+        E.is_free(email, "regional").alias("free"),
+        E.is_generic(email, "regional").alias("generic"),
+    )
+    formed, system, free, generic = map(F.col, ("formed", "system", "free", "generic"))
     rest = formed & ~system & ~free
-    generic = E.is_generic(email, "regional")
     # a system address at a free provider counts under both
     kinds = {
         "specific_company": rest & ~generic,
@@ -69,10 +68,9 @@ def _email_sets(emails: DataFrame) -> DataFrame:
         "system_blocked": formed & system,
         "free_provider": formed & free,
     }
-    status = F.trim("verification_status")
-    folded = in_markets(emails).groupBy("run_date", "country", "id").agg(
+    folded = tested.groupBy("run_date", "country", "id").agg(
         F.count("*").alias("all_rows"),
-        F.count_if(T.has_text(email)).alias("texts"),
+        F.count_if(F.col("text")).alias("texts"),
         F.count_if(formed).alias("formed"),
         *[F.count_if(condition).alias(k) for k, condition in kinds.items()],
         F.count_if(T.is_blank(F.col("verification_status"))).alias("unverified"),
@@ -106,7 +104,7 @@ def _coverage_sets(companies: DataFrame, emails: DataFrame, runs: DataFrame) ->
         F.count("*").alias("total_companies"),
         F.count_if(F.col("has_fqdn")).alias("fqdns"),
     )
-    bit = _bit("hq_country")
+    bit = market_bit("hq_country")
     joined = market_masks(emails, ("run_date", "id")).join(hub, "id")
     here = has_bit("text_mask", bit)
     fqdn, present, absent = F.col("has_fqdn"), has_bit("present_mask", bit), has_bit("absent_mask", bit)
@@ -171,7 +169,7 @@ def country_summary(
         _mismatch_set(companies, emails),
     )
     shares = [M.pct(F.col(a), F.col(b)).alias(p) for p, (a, b) in PERCENTS.items()]
-    return sets.join(runs, RUN, "left_semi").select(*RUN, *COUNTS, *shares)
+    return sets.join(runs, RUN, "left_semi").select(*RUN, *SUMMARY_COUNTS, *shares)
 
 
 def global_summary(companies: DataFrame, summary: DataFrame) -> DataFrame:

@@ -14,6 +14,22 @@ _SHARES = """matched_pct double, identity_coverage_pct double, social_coverage_p
     firmographics_coverage_pct double, size_coverage_pct double, contact_coverage_pct double,
     avg_field_coverage_pct double, people_coverage_pct double"""
 
+# metrics of the weekly country summary
+SUMMARY_COUNTS = (
+    "total_companies", "with_email", "missing_email", "has_email_other_market",
+    "companies_with_fqdn", "has_fqdn_no_email", "has_fqdn_with_email",
+    "total_email_rows", "specific_company", "generic_role_based", "system_blocked", "free_provider",
+    "unverified", "highly_likely", "likely", "unsure",
+    "undeliverable", "deliv_highly_likely", "deliv_likely", "deliv_unsure", "not_checked",
+    "domain_pairs", "domain_match", "domain_mismatch",
+    "company_country_pairs", "companies_gt5_emails",
+)
+SUMMARY_PERCENTS = (
+    "pct_with_email", "pct_missing", "pct_fqdn_no_email", "pct_specific", "pct_generic",
+    "pct_system_blocked", "pct_free_provider", "pct_unverified", "pct_undeliverable",
+    "pct_not_checked", "pct_mismatch", "pct_gt5",
+)
+
 TABLES = {
     "rows": f"""record_id string, run_date date, {_CUSTOMER}, monthly_credits bigint,
         sales_team_size bigint, currency string, seats bigint""",
@@ -34,6 +50,32 @@ TABLES = {
         root_cause string, score_impact double""",
     "email_sources": """run_date date, country string, source string, email_count bigint,
         pct_of_country double""",
+    "email_summary": "run_date date, country string, " + ", ".join(
+        [f"{c} bigint" for c in SUMMARY_COUNTS] + [f"{c} double" for c in SUMMARY_PERCENTS]
+    ),
+    "email_global": """run_date date, total_distinct_companies bigint, total_markets_13 bigint,
+        total_no_location bigint, other_markets bigint, total_company_country_recs bigint,
+        overall_quality_score double, avg_coverage_pct double, avg_accuracy_pct double,
+        avg_consistency_pct double""",
+    "trials": """trial_id string, run_id string, run_date date, domain_raw string, domain string,
+        crm_name string, customer_id string, icp string, sub_status string, product_name string,
+        plan_amount_aud double, billing_country string, seats bigint""",
+    "trial_payloads": """trial_id string, run_id string, run_date date, domain string,
+        catalog_id string, slug string, payload_status string, payload_raw string,
+        payload_slug string""",
+    "people_coverage": """trial_id string, run_id string, run_date date, domain string,
+        catalog_id string, market string, people_count bigint, headcount bigint,
+        employee_coverage_pct double, people_coverage_pct double, people_gap bigint""",
+    "location_coverage": """trial_id string, run_id string, run_date date, domain string,
+        catalog_id string, market string, in_catalog_at_location boolean,
+        payload_has_location boolean, location_gap boolean""",
+    "quality_score": """trial_id string, run_id string, run_date date, domain string,
+        crm_name string, customer_id string, catalog_id string, match_status string,
+        market string, field_coverage_pct double, people_coverage_pct double,
+        location_coverage_pct double, quality_score double, fields_missing_count int,
+        missing_fields array<string>, people_gap bigint, location_gap_count int,
+        prev_quality_score double, prev_run_id string, quality_delta double,
+        quality_status string, direction string""",
     "payloads": """platform string, handle string, profile_type string, request_type string,
         priority string, state string, profile_id string, status_code int, post_count double,
         row_no bigint""",

@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from recordlens.plans import customers, weekly
+from recordlens.schemas import SUMMARY_COUNTS
 from recordlens.sources import fixtures as fx
 
 JOBS = entry.queries()
@@ -37,8 +38,8 @@ def test_repeat_marks_do_not_gather_a_slug(spark, sf_dir, plan_of):
 
 def test_issue_rows_come_from_one_scan(spark, sf_dir, plan_of):
     summary = spark.createDataFrame(
-        [tuple([None, "US"] + [1] * len(weekly.COUNTS))],
-        "run_date date, country string, " + ", ".join(f"{c} bigint" for c in weekly.COUNTS),
+        [tuple([None, "US"] + [1] * len(SUMMARY_COUNTS))],
+        "run_date date, country string, " + ", ".join(f"{c} bigint" for c in SUMMARY_COUNTS),
     )
     plan = plan_of(weekly.issues_long(summary))
     assert "Union" not in plan and "Join" not in plan and "Exchange" not in plan

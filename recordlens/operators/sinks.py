@@ -13,6 +13,13 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from recordlens.schemas import TABLES
+
+
+def table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A stored table with its declared columns; one that never got a row is empty."""
+    return spark.read.schema(TABLES[name]).parquet(f"{root}/{name}")
+
 
 def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     """The stored table, or None when nothing was written yet; other errors rise."""

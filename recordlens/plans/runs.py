@@ -33,7 +33,7 @@ def weekly_refresh(
 
     put("email_summary", weekly.country_summary(companies, mails, deliv, [run_date]))
     put("email_sources", emails.source_breakdown(mails))
-    summary = spark.read.parquet(f"{root}/email_summary")
+    summary = sinks.table(spark, root, "email_summary")
     put("email_global", weekly.global_summary(companies, summary.filter(F.col("run_date") == day)))
     put("email_delta", weekly.delta(summary.filter(F.col("run_date") <= day)))
 
@@ -56,7 +56,7 @@ def audit_run(
 
     def add(name: str, frame: DataFrame, keys: list[str]) -> DataFrame:
         sinks.insert_missing(conform(frame, name), f"{root}/{name}", keys, "run_id")
-        return spark.read.parquet(f"{root}/{name}").join(runs, "run_id", "left_semi")
+        return sinks.table(spark, root, name).join(runs, "run_id", "left_semi")
 
     def rebuilt(name: str, frame: DataFrame) -> DataFrame:
         return sinks.stored(frame, f"{root}/{name}")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,8 +45,13 @@ class Inputs:
     def trials(self) -> DataFrame:
         return audit.audit_input(self.rows())
 
+    @cached_property
+    def trial_table(self) -> DataFrame:
+        """Trials as a table: the match asks for their domains and for their rows."""
+        return stored(self.trials(), work_dir(self.spark, "trials"))
+
     def matched(self) -> DataFrame:
-        return audit.audit_match(self.trials(), self.catalog, self.contact)
+        return audit.audit_match(self.trial_table, self.catalog, self.contact)
 
     def match_table(self) -> DataFrame:
         """The match as a table: every later step of a run starts from it."""
@@ -167,7 +173,7 @@ _JOBS: dict[str, Callable[[Inputs], DataFrame]] = {
     ),
     "audit_overall_run": lambda i: audit.overall_run(i.scores()),
     "audit_by_market": lambda i: audit.by_market(i.scores()),
-    "audit_dashboard": lambda i: _flat(audit.dashboard(i.scores(), i.trials())),
+    "audit_dashboard": lambda i: _flat(audit.dashboard(i.scores(), i.trial_table)),
     # record monitoring
     "records_mark_duplicates": lambda i: i.persons().select("row_no", "source", "country", "slug", "status"),
     "records_mark_company_duplicates": lambda i: i.companies_in().select("row_no", "company", "slug", "status"),

@@ -6,9 +6,6 @@ Spark; its output appears only when the whole write is committed.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -35,9 +32,14 @@ def missing_rows(batch: DataFrame, stored: DataFrame | None, keys: list[str]) ->
     """Rows of the batch whose key is not stored; NULL key parts are equal."""
     if stored is None:
         return batch
-    other = stored.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
-    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-    return batch.join(other, same, "left_anti")
+    # equality on (text or '', is NULL) is null-safe, and the distinct below leaves the
+    # stored keys where the join wants them
+    parts = {}
+    for k in keys:
+        parts[f"_{k}"] = F.coalesce(F.col(k).cast("string"), F.lit(""))
+        parts[f"_{k}_null"] = F.col(k).isNull()
+    known = stored.select(*[c.alias(n) for n, c in parts.items()]).distinct()
+    return batch.withColumns(parts).join(known, list(parts), "left_anti").drop(*parts)
 
 
 def insert_missing(

@@ -17,7 +17,7 @@ from recordlens import constants as K
 from recordlens.functions import email as E
 from recordlens.functions import measure as M
 from recordlens.functions import text as T
-from recordlens.operators.rows import keep_top, replicated, salted
+from recordlens.operators.rows import keep_top, left_join_sparse, replicated, salted
 
 MARKETS = K.EMAIL_MARKETS
 SALTS = 16
@@ -471,10 +471,16 @@ def quality_gate(
     # per root are all that can reach the result. Joins see these rows only.
     free = F.col("email_type") == "free_provider"
     best = keep_top(candidates, ["id", "country", "root", free], order, top)
-    on_host = best.join(allowed, ["id", "root"]).withColumn("domain_match", F.lit(True))
-    fallback = best.filter(free).join(without_own, "id").withColumn("domain_match", F.lit(False))
-    order = [F.when(F.col("domain_match"), 0).otherwise(1), *order]
-    return keep_top(on_host.unionByName(fallback), ["id", "country"], order, top)
+    matched, alone = F.col("domain_match"), F.col("without_own")
+    passed = (
+        best.join(allowed.withColumn("domain_match", F.lit(True)), ["id", "root"], "left")
+        .withColumn("domain_match", F.coalesce(matched, F.lit(False)))
+        .filter(matched | free)
+        .join(without_own.withColumn("without_own", F.lit(True)), "id", "left")
+        .filter(matched | alone)
+        .drop("without_own")
+    )
+    return keep_top(passed, ["id", "country"], [F.when(matched, 0).otherwise(1), *order], top)
 
 
 def _deliverability_rank() -> Column:
@@ -535,16 +541,17 @@ def dedupe_shared(
     flagged = salted(rows, ["email_row_id"], SALTS).join(
         replicated(shared_list, SALTS), ["address", "_salt"], "left"
     )
-    columns = ["id", "country", "email_row_id", F.col("address").alias("email")]
-    single = flagged.filter(F.col("is_shared").isNull()).select(*columns)
-    hosts = comparable_hosts(companies).filter(F.col("root") != "").select("id", "root").distinct()
-    several = (
-        flagged.filter(F.col("is_shared"))
-        .withColumn("root", T.email_root(F.col("address")))
-        .join(hosts, ["id", "root"])
-        .select(*columns)
+    key = F.concat_ws("\x00", "id", "root")
+    hosts = comparable_hosts(companies).filter(F.col("root") != "")
+    hosts = hosts.select(key.alias("own_key")).distinct().withColumn("own", F.lit(True))
+    keyed = flagged.withColumn("root", T.email_root(F.col("address"))).withColumn(
+        "own_key", F.when(F.col("is_shared"), key)
+    )
+    return (
+        left_join_sparse(keyed, hosts, "own_key", "email_row_id")
+        .filter(F.col("is_shared").isNull() | F.col("own"))
+        .select("id", "country", "email_row_id", F.col("address").alias("email"))
     )
-    return single.unionByName(several)
 
 
 def suppress(emails: DataFrame, deliv: DataFrame) -> DataFrame:

@@ -129,6 +129,17 @@ def read_payload_cache(spark: SparkSession, root: str) -> DataFrame:
     return files.select(slug.alias("slug"), F.lit("200").alias("status"), F.col("value").alias("raw"))
 
 
+def read_table(
+    spark: SparkSession, path: str, columns: list[str], renamed: dict[str, str] | None = None
+) -> DataFrame:
+    """The named columns of a parquet table (catalog, contacts, people, regions).
+
+    ``renamed`` maps a column name used here to the one the table has.
+    """
+    names = renamed or {}
+    return spark.read.parquet(path).select(*[F.col(names.get(c, c)).alias(c) for c in columns])
+
+
 def stored_dates(table: DataFrame) -> DataFrame:
     """Run dates that a table holds, in order."""
     return table.select("run_date").distinct().orderBy("run_date")

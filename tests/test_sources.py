@@ -88,3 +88,10 @@ def test_payload_cache(spark, tmp_path):
                                  "row_no bigint, slug string, status string")
     out = {r.row_no: (r.status, r.payload_raw) for r in records.attach_payloads(rows, cache).collect()}
     assert out == {1: ("200", "{}"), 2: ("404", None), 3: ("404", None), 4: ("409", None)}
+
+
+def test_read_table_prunes_and_renames(spark, tmp_path, plan_of):
+    spark.createDataFrame([("C1", 1999, "x")], "ID string, FOUNDED_YEAR int, other string").write.parquet(str(tmp_path / "t"))
+    frame = files.read_table(spark, str(tmp_path / "t"), ["id", "year_founded"], {"id": "ID", "year_founded": "FOUNDED_YEAR"})
+    assert [tuple(r) for r in frame.collect()] == [("C1", 1999)] and frame.columns == ["id", "year_founded"]
+    assert "other" not in plan_of(frame)

@@ -42,6 +42,15 @@ def missing_rows(batch: DataFrame, stored: DataFrame | None, keys: list[str]) ->
     return batch.withColumns(parts).join(known, list(parts), "left_anti").drop(*parts)
 
 
+def by_partition(df: DataFrame, column: str) -> DataFrame:
+    """Rows of a partition together, so that a write of many dates makes few files.
+
+    AQE sizes the writers by the measured data: it joins small dates and splits
+    a date that holds most rows.
+    """
+    return df.hint("rebalance", F.col(column))
+
+
 def insert_missing(
     batch: DataFrame, path: str, keys: list[str], partition: str | None = "run_date"
 ) -> None:
@@ -53,8 +62,11 @@ def insert_missing(
     stored = read_or_none(batch.sparkSession, path)
     if stored is not None and partition in keys:
         stored = stored.join(batch.select(partition).distinct(), partition, "left_semi")
-    writer = missing_rows(batch, stored, keys).write.mode("append")
-    (writer.partitionBy(partition) if partition else writer).parquet(path)
+    new = missing_rows(batch, stored, keys)
+    if partition:
+        by_partition(new, partition).write.mode("append").partitionBy(partition).parquet(path)
+    else:
+        new.write.mode("append").parquet(path)
 
 
 def replace_partitions(df: DataFrame, path: str, column: str, values: list) -> None:
@@ -67,7 +79,7 @@ def replace_partitions(df: DataFrame, path: str, column: str, values: list) -> N
     name = F.col(column).cast("string")
     seen = Observation()
     (
-        df.filter(F.col(column).isin(*values))
+        by_partition(df.filter(F.col(column).isin(*values)), column)
         .observe(seen, F.collect_set(name).alias("values"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

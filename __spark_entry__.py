@@ -19,6 +19,12 @@ from recordlens.session import work_dir  # noqa: E402
 from recordlens.sources import fixtures as fx  # noqa: E402
 from recordlens.streaming.daily import Tables, run_daily  # noqa: E402
 
+try:  # the training-data operators are an optional part
+    import corpus_pipeline
+    from recordlens.llm import queries as llm
+except ImportError:
+    corpus_pipeline = llm = None
+
 AS_OF = "2024-01-30"
 RUN_DATES = [date for date, _ in fx.EMAIL_RUNS]
 
@@ -254,10 +260,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(job):
         return lambda spark, sf_dir: job(Inputs(spark, sf_dir))
 
-    return {name: bind(job) for name, job in _JOBS.items()}
+    jobs = {name: bind(job) for name, job in _JOBS.items()}
+    if llm is not None:
+        jobs |= llm.QUERIES | {"pipeline": corpus_pipeline.run}
+    return jobs
 
 
 def oracle_sql() -> dict[str, str]:
     from oracles import all_queries
 
-    return all_queries()
+    sql = all_queries()
+    if llm is not None:
+        sql |= llm.ORACLE_SQL
+        if corpus_pipeline.ORACLE_SQL:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return sql

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from recordlens.llm import packing, token_counts, token_store
+from recordlens.llm import fingerprints, packing, token_counts, token_store, url_rules
 from recordlens.llm.common import table
 
 BPE = "byte_bpe_50k.json"
@@ -16,6 +16,10 @@ def op2_token_store(spark, sf_dir):
     return token_store.digests(token_store.open_store(spark, path))
 
 
+def op5_url_rules(spark, sf_dir):
+    return url_rules.judge(table(spark, sf_dir, "pages")).drop("pattern_rule")
+
+
 def op6_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(BPE))
 
@@ -24,6 +28,12 @@ def op7_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(BPE))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_store, op6_token_counts, op7_packing)}
+def op8_fingerprints(spark, sf_dir):
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_token_store, op5_url_rules, op6_token_counts, op7_packing, op8_fingerprints)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op5_url_rules": f"SELECT * EXCLUDE (pattern_rule) FROM ({url_rules.ORACLE})",
+}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from recordlens.llm import fingerprints, packing, token_counts, token_store, url_rules
+from recordlens.llm import decontam, fingerprints, packing, quality, token_counts, token_store, url_rules
 from recordlens.llm.common import table
 
 BPE = "byte_bpe_50k.json"
@@ -32,8 +32,18 @@ def op8_fingerprints(spark, sf_dir):
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_store, op5_url_rules, op6_token_counts, op7_packing, op8_fingerprints)}
+def op9_decontamination(spark, sf_dir):
+    return decontam.passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return quality.classify(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+QUERIES = {f.__name__: f for f in (op2_token_store, op5_url_rules, op6_token_counts, op7_packing, op8_fingerprints, op9_decontamination, op10_quality)}
 
 ORACLE_SQL = {
     "op5_url_rules": f"SELECT * EXCLUDE (pattern_rule) FROM ({url_rules.ORACLE})",
+    "op9_decontamination": decontam.ORACLE,
 }

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from recordlens.llm import decontam, fingerprints, packing, quality, token_counts, token_store, url_rules
+from recordlens.llm import decontam, fingerprints, packing, quality, suffix_dedup, token_counts, token_store, url_rules
 from recordlens.llm.common import table
 
 BPE = "byte_bpe_50k.json"
 
 
+def op1_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 def op2_token_store(spark, sf_dir):
     path = token_store.new_path(spark)
     token_store.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path(BPE))
@@ -41,7 +45,7 @@ def op10_quality(spark, sf_dir):
     return quality.classify(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_store, op5_url_rules, op6_token_counts, op7_packing, op8_fingerprints, op9_decontamination, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_token_store, op5_url_rules, op6_token_counts, op7_packing, op8_fingerprints, op9_decontamination, op10_quality)}
 
 ORACLE_SQL = {
     "op5_url_rules": f"SELECT * EXCLUDE (pattern_rule) FROM ({url_rules.ORACLE})",

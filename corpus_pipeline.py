@@ -4,19 +4,55 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from recordlens.llm import packing
+from recordlens.llm import decontam, near_dedup, packing, quality, suffix_dedup
 from recordlens.llm.common import stored, table
 
 BPE = "byte_bpe_50k.json"
 
 
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the co-trained classifier does not reject as junk or toxic."""
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    judged = quality.verdict(model)("text", "lang", "source", F.col("n_chars").cast("long"))
+    return docs.filter(judged["keep"])
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies (five-word shingles, similarity 0.8): the smallest id.
+
+    Rows without an id stay. Rows that share an id are one document: one of them stays.
+    """
+    found = near_dedup.near_duplicates(docs)
+    kept = found.filter("kept and doc_id is not null").select("doc_id").distinct()
+    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.unionAll(docs.filter("doc_id is null"))
+
+
+def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the strings of 400 bytes that stand more than once."""
+    return suffix_dedup.remove(docs)
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    leaks = decontam.passages(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    return docs.join(leaks, "doc_id", "left_anti")
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of at most 2048 tokens."""
     return packing.pack(docs, public_tokenizers.path(BPE))
 
 
-STAGES = [("packing", pack)]
+STAGES = [
+    ("quality classifier", good),
+    ("near-duplicates", distinct),
+    ("repeated strings", unrepeated),
+    ("benchmark decontamination", clean),
+    ("packing", pack),
+]
 ORACLE_SQL = None
 
 

@@ -4,7 +4,18 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from recordlens.llm import decontam, fingerprints, packing, quality, suffix_dedup, token_counts, token_store, url_rules
+from recordlens.llm import (
+    decontam,
+    fingerprints,
+    license_scan,
+    near_dedup,
+    packing,
+    quality,
+    suffix_dedup,
+    token_counts,
+    token_store,
+    url_rules,
+)
 from recordlens.llm.common import table
 
 BPE = "byte_bpe_50k.json"
@@ -20,6 +31,14 @@ def op2_token_store(spark, sf_dir):
     return token_store.digests(token_store.open_store(spark, path))
 
 
+def op3_license_scan(spark, sf_dir):
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op4_near_dedup(spark, sf_dir):
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=2)
+
+
 def op5_url_rules(spark, sf_dir):
     return url_rules.judge(table(spark, sf_dir, "pages")).drop("pattern_rule")
 
@@ -45,9 +64,16 @@ def op10_quality(spark, sf_dir):
     return quality.classify(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_token_store, op5_url_rules, op6_token_counts, op7_packing, op8_fingerprints, op9_decontamination, op10_quality)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_suffix_dedup, op2_token_store, op3_license_scan, op4_near_dedup, op5_url_rules,
+        op6_token_counts, op7_packing, op8_fingerprints, op9_decontamination, op10_quality,
+    )
+}
 
 ORACLE_SQL = {
+    "op4_near_dedup": near_dedup.ORACLE,
     "op5_url_rules": f"SELECT * EXCLUDE (pattern_rule) FROM ({url_rules.ORACLE})",
     "op9_decontamination": decontam.ORACLE,
 }

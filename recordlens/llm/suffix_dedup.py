@@ -458,7 +458,7 @@ def remove(docs: DataFrame, length: int = 400, text_col: str = "text", size_col:
                 out.append(text)
                 continue
             raw, at, parts = text.encode(), 0, []
-            for low, high in _merge(spans):
+            for low, high in _merge(list(spans)):
                 parts.append(raw[at:low].decode(errors="ignore"))
                 at = high
             out.append("".join([*parts, raw[at:].decode(errors="ignore")]))

@@ -30,25 +30,18 @@ def _value(weight_ln: Column, r: Column, c: Column, beta: Column) -> Column:
     return c - r * (F.floor(weight_ln / r + beta) - beta + 1.0)
 
 
-def signature(terms: DataFrame, keys: list[str], weights: list[str], samples: int) -> DataFrame:
-    """``f_<weight>`` per group: fingerprints of the weights of its terms.
+def signature(terms: DataFrame, keys: list[str], samples: int) -> DataFrame:
+    """``keys, print`` per group: the fingerprint of its weighted terms.
 
-    ``terms`` has one row per group and term (``term`` long, weights > 0 or null where
-    the term is absent). The least value stands for the sampled term and its level, as
-    both follow from it, so plain minima are enough; they combine before any shuffle.
+    ``terms`` has one row per group and term (``term`` long, ``weight`` > 0). The least
+    value stands for the sampled term and its level, as both follow from it, so plain
+    minima are enough; they combine before any shuffle. Each minimum holds its whole
+    expression: so Spark compiles them into methods small enough for the JVM's compiler.
     """
-    parts = [f"{n}_{k}" for k in range(samples) for n in ("r", "c", "b")]
-    drawn = [g for k in range(samples) for g in _gammas(F.col("term"), k)]
-    logs = [F.ln(w).alias(f"ln_{w}") for w in weights]
-    rows = terms.select(*keys, *logs, *(g.alias(n) for g, n in zip(drawn, parts)))
-    least = [
-        F.min(_value(F.col(f"ln_{w}"), F.col(f"r_{k}"), F.col(f"c_{k}"), F.col(f"b_{k}"))).alias(f"{w}_{k}")
-        for w in weights
-        for k in range(samples)
-    ]
+    least = [F.min(_value(F.ln("weight"), *_gammas(F.col("term"), k))).alias(f"m{k}") for k in range(samples)]
     text = lambda c: F.lpad(F.lower(F.hex(F.xxhash64(c).bitwiseAND(0xFFFFFFFF))), 8, "0")
-    return rows.groupBy(*keys).agg(*least).select(
-        *keys, *(F.concat(*(text(F.col(f"{w}_{k}")) for k in range(samples))).alias(f"f_{w}") for w in weights)
+    return terms.groupBy(*keys).agg(*least).select(
+        *keys, F.concat(*(text(F.col(f"m{k}")) for k in range(samples))).alias("print")
     )
 
 
@@ -125,13 +118,14 @@ def fingerprints(
     words = rows.select("part", "rank", F.inline(both)).filter("t is not null").select(
         "part", "rank", "side", F.explode(F.split(F.btrim("t", F.lit(BLANKS)), "[ \\t\\n\\r\\f\\x0b]+")).alias("word")
     )
-    terms = words.groupBy("part", "rank", F.xxhash64("word").alias("term")).agg(
-        F.nullif(F.sum(F.lit(1) - F.col("side")), F.lit(0)).alias("plain"),
-        F.nullif(F.sum("side"), F.lit(0)).alias("changed"),
-    )
-    signs = signature(terms, ["part", "rank"], ["plain", "changed"], samples)
-    order = Window.partitionBy("part").orderBy("rank")
-    signs = signs.select("*", F.lead("f_plain").over(order).alias("f_next"))
+    terms = words.groupBy("part", "rank", "side", F.xxhash64("word").alias("term")).agg(F.count("*").alias("weight"))
+    signs = signature(terms, ["part", "rank", "side"], samples)
+    # the sides of a document, then the next document
+    order = Window.partitionBy("part").orderBy("rank", "side")
+    signs = signs.select(
+        "part", "rank", "side", F.col("print").alias("f_plain"),
+        F.lead("print", 1).over(order).alias("f_changed"), F.lead("print", 2).over(order).alias("f_next"),
+    ).filter("side = 0").drop("side")
     base = rows.filter("real").select("part", "rank", "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"))
     return base.join(signs, ["part", "rank"]).select(
         "doc_id", "n_chars", "edited_sha256",

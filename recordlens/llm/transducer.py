@@ -390,6 +390,8 @@ class Transducer:
 
     def _ids(self, texts, codes, trace) -> np.ndarray:
         n = len(codes)
+        if not n:
+            return np.zeros(0, "<u4")
         lengths = np.array([len(t) for t in texts], np.int64)
         stop = np.cumsum(lengths)
         # walks begin at each text's end and before each blank that follows a visible character

@@ -5,7 +5,6 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
-from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +12,6 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from recordlens.functions import text as T  # noqa: E402
-from recordlens.operators.sinks import stored  # noqa: E402
 from recordlens.plans import audit, customers, emails, records, weekly  # noqa: E402
 from recordlens.session import work_dir  # noqa: E402
 from recordlens.sources import fixtures as fx  # noqa: E402
@@ -51,17 +49,8 @@ class Inputs:
     def trials(self) -> DataFrame:
         return audit.audit_input(self.rows())
 
-    @cached_property
-    def trial_table(self) -> DataFrame:
-        """Trials as a table: the match asks for their domains and for their rows."""
-        return stored(self.trials(), work_dir(self.spark, "trials"))
-
     def matched(self) -> DataFrame:
-        return audit.audit_match(self.trial_table, self.catalog, self.contact)
-
-    def match_table(self) -> DataFrame:
-        """The match as a table: every later step of a run starts from it."""
-        return stored(self.matched(), work_dir(self.spark, "match"))
+        return audit.audit_match(self.trials(), self.catalog, self.contact)
 
     def enriched(self, matched: DataFrame) -> DataFrame:
         return audit.audit_enrich(audit.audit_slugs(matched), self.payload)
@@ -73,7 +62,7 @@ class Inputs:
         return audit.location_coverage(matched, self.region, enriched)
 
     def gaps(self, matched: DataFrame) -> DataFrame:
-        enriched = stored(self.enriched(matched), work_dir(self.spark, "enriched"))
+        enriched = self.enriched(matched)
         return audit.gap_summary(
             audit.field_coverage(matched),
             self.people_cov(matched, enriched),
@@ -81,7 +70,7 @@ class Inputs:
         )
 
     def scores(self, entity: str = "domain") -> DataFrame:
-        matched = self.match_table()
+        matched = self.matched()
         return audit.quality_score(self.gaps(matched), matched, entity)
 
     def persons(self) -> DataFrame:
@@ -170,16 +159,16 @@ _JOBS: dict[str, Callable[[Inputs], DataFrame]] = {
     "audit_slugs": lambda i: audit.audit_slugs(i.matched()),
     "audit_enrich": lambda i: i.enriched(i.matched()),
     "audit_field_coverage": lambda i: _flat(audit.field_coverage(i.matched())),
-    "audit_people_coverage": lambda i: i.people_cov(m := i.match_table(), i.enriched(m)),
-    "audit_location_coverage": lambda i: i.location_cov(m := i.match_table(), i.enriched(m)),
-    "audit_gap_summary": lambda i: _flat(i.gaps(i.match_table())),
+    "audit_people_coverage": lambda i: i.people_cov(m := i.matched(), i.enriched(m)),
+    "audit_location_coverage": lambda i: i.location_cov(m := i.matched(), i.enriched(m)),
+    "audit_gap_summary": lambda i: _flat(i.gaps(i.matched())),
     "audit_quality_score": lambda i: _flat(i.scores()),
     "audit_quality_score_by_trial": lambda i: i.scores("trial_id").select(
         "trial_id", "market", "quality_score", "direction"
     ),
     "audit_overall_run": lambda i: audit.overall_run(i.scores()),
     "audit_by_market": lambda i: audit.by_market(i.scores()),
-    "audit_dashboard": lambda i: _flat(audit.dashboard(i.scores(), i.trial_table)),
+    "audit_dashboard": lambda i: _flat(audit.dashboard(i.scores(), i.trials())),
     # record monitoring
     "records_mark_duplicates": lambda i: i.persons().select("row_no", "source", "country", "slug", "status"),
     "records_mark_company_duplicates": lambda i: i.companies_in().select("row_no", "company", "slug", "status"),

@@ -52,16 +52,19 @@ def by_partition(df: DataFrame, column: str) -> DataFrame:
 
 
 def insert_missing(
-    batch: DataFrame, path: str, keys: list[str], partition: str | None = "run_date"
+    batch: DataFrame, path: str, keys: list[str], partition: str | None = "run_date",
+    partitions: DataFrame | None = None,
 ) -> None:
     """Append the rows whose key is not stored.
 
-    The stored side is cut to the partitions of the batch, so old history is
-    not read when the partition column is part of the key.
+    The stored side is cut to the partitions of the batch, so old history is not read
+    when the partition column is part of the key. ``partitions`` has them as rows; without
+    it they are taken from the batch, which is then computed twice.
     """
     stored = read_or_none(batch.sparkSession, path)
     if stored is not None and partition in keys:
-        stored = stored.join(batch.select(partition).distinct(), partition, "left_semi")
+        known = batch.select(partition) if partitions is None else partitions.select(partition)
+        stored = stored.join(known.distinct(), partition, "left_semi")
     new = missing_rows(batch, stored, keys)
     if partition:
         by_partition(new, partition).write.mode("append").partitionBy(partition).parquet(path)

@@ -15,7 +15,7 @@ from recordlens import constants as K
 from recordlens.functions import measure as M
 from recordlens.functions import text as T
 from recordlens.operators.matching import match_domains, usable_catalog
-from recordlens.operators.rows import keep_top, mark_repeats
+from recordlens.operators.rows import keep_top, left_join_sparse, mark_repeats
 from recordlens.plans.customers import (
     MATCHED,
     UNMATCHED,
@@ -107,7 +107,12 @@ def audit_enrich(slugs: DataFrame, payloads: DataFrame) -> DataFrame:
         .withColumn("found", F.lit(True))
     )
     marked = mark_repeats(slugs, ["run_id", "slug"], "trial_id", "repeat", "409")
-    joined = marked.join(cached, "slug", "left")
+    # only the first row of a slug in a run is looked up, so no slug is hot in this join
+    lookup = F.when(F.col("repeat").isNull() & (F.col("slug") != ""), F.col("slug"))
+    joined = left_join_sparse(
+        marked.withColumn("lookup", lookup), cached.withColumnRenamed("slug", "lookup"),
+        "lookup", "trial_id",
+    )
     status = F.coalesce("repeat", F.when(F.col("found"), "200").otherwise("404"))
     found = status == "200"
     return joined.select(
@@ -188,14 +193,12 @@ def location_coverage(matched: DataFrame, regions: DataFrame, enriched: DataFram
         .select(*TRIAL, "run_date", "domain", "catalog_id", "market",
                 F.lit(True).alias("in_catalog"), F.lit(False).alias("in_payload"))
     )
-    locations = F.from_json(
-        T.json_text(F.col("payload_raw"), "$.locations"),
-        "array<struct<address:struct<country:string>>>",
-    )
+    # as texts: an element that is no object, or whose address is none, has no country
+    locations = F.from_json(T.json_text(F.col("payload_raw"), "$.locations"), "array<string>")
     from_payload = (
         enriched.filter(F.col("payload_status") == "200")
         .select(*TRIAL, "run_date", "domain", "catalog_id", F.explode(locations).alias("place"))
-        .withColumn("market", F.upper(F.trim("place.address.country")))
+        .withColumn("market", F.upper(F.trim(T.json_text(F.col("place"), "$.address.country"))))
         .filter(F.col("market").isin(*K.AUDIT_MARKETS))
         .select(*TRIAL, "run_date", "domain", "catalog_id", "market",
                 F.lit(False).alias("in_catalog"), F.lit(True).alias("in_payload"))
@@ -302,31 +305,39 @@ def quality_score(gaps: DataFrame, matched: DataFrame, entity: str = "domain") -
 
 
 def with_prior(current: DataFrame, history: DataFrame, entity: str = "domain") -> DataFrame:
-    """Change of one run's scores against stored history, for incremental use.
+    """Change of the scores of one or more runs against each other and stored history.
 
-    The prior score is that of the last earlier run; NULL markets are equal
-    here. Only matched trials have a history.
+    The prior score is that of the last earlier run of the same entity and market;
+    NULL markets are equal here. Only matched trials have a history. Stored rows of
+    the given runs are left out, so that a rerun gives the same. Of the runs before
+    the first given one only the last row of each entity and market is joined in.
     """
-    first = current.agg(F.min("run_date")).scalar()
-    last = (
-        history.filter((F.col("match_status") == MATCHED) & (F.col("run_date") < first))
+    parts = [entity, "market", "run_date", "run_id", "quality_score"]
+    days = current.agg(F.min("run_date").alias("first"), F.max("run_date").alias("last"))
+    runs = current.select("run_id").distinct()
+    old = (
+        history.filter((F.col("match_status") == MATCHED) & (F.col("run_date") < days.select("last").scalar()))
+        .join(runs, "run_id", "left_anti")
+        .select(*parts)
+    )
+    first = days.select("first").scalar()
+    before = (
+        old.filter(F.col("run_date") < first)
         .groupBy(entity, "market")
         .agg(F.max(F.struct("run_date", "run_id", "quality_score")).alias("last"))
-        .select(
-            F.col(entity).alias("_entity"), F.col("market").alias("_market"),
-            F.col("last.run_id").alias("prev_run_id"),
-            F.col("last.quality_score").alias("prev_quality_score"),
-        )
+        .select(entity, "market", "last.*")
     )
-    same = (
-        (F.col(entity) == F.col("_entity"))
-        & F.col("market").eqNullSafe(F.col("_market"))
-        & (F.col("match_status") == MATCHED)
+    stored = before.unionByName(old.filter(F.col("run_date") >= first))
+    rows = current.withColumns({"_known": F.col("match_status") == MATCHED, "_given": F.lit(True)}).unionByName(
+        stored.withColumns({"_known": F.lit(True), "_given": F.lit(False)}), allowMissingColumns=True
     )
+    w = Window.partitionBy(entity, "market", "_known").orderBy("run_date", "run_id")
     change = F.round(F.col("quality_score") - F.col("prev_quality_score"), 2)
     return (
-        current.join(last, same, "left")
-        .drop("_entity", "_market")
+        rows.withColumn("prev_run_id", F.when(F.col("_known"), F.lag("run_id").over(w)))
+        .withColumn("prev_quality_score", F.when(F.col("_known"), F.lag("quality_score").over(w)))
+        .filter("_given")
+        .drop("_known", "_given")
         .withColumn("quality_delta", change)
         .withColumn("quality_status", M.quality_band(F.col("quality_score")))
         .withColumn("direction", M.direction(F.col("quality_delta")))

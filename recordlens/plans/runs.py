@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from recordlens.operators import sinks
 from recordlens.plans import audit, emails, records, weekly
 from recordlens.schemas import TABLES, conform
+from recordlens.session import configure
 
 
 def weekly_refresh(
@@ -22,7 +23,7 @@ def weekly_refresh(
     The base tables are read once per metric set; the later tables come from
     the stored summary, which has one row per run and market.
     """
-    spark = companies.sparkSession
+    spark = configure(companies.sparkSession)
     day = F.lit(run_date).cast("date")
     mails, deliv = mails.withColumn("run_date", day), deliv.withColumn("run_date", day)
 
@@ -52,10 +53,10 @@ def audit_run(
     The score looks up earlier runs in its own history. Match, field coverage
     and gaps describe the current run only and are rebuilt.
     """
-    spark = rows.sparkSession
+    spark = configure(rows.sparkSession)
 
     def add(name: str, frame: DataFrame, keys: list[str]) -> DataFrame:
-        sinks.insert_missing(conform(frame, name), f"{root}/{name}", keys, "run_id")
+        sinks.insert_missing(conform(frame, name), f"{root}/{name}", keys, "run_id", runs)
         return sinks.table(spark, root, name).join(runs, "run_id", "left_semi")
 
     def rebuilt(name: str, frame: DataFrame) -> DataFrame:
@@ -82,6 +83,7 @@ def audit_run(
 
 def land_inputs(enriched: DataFrame, root: str, run_id: str, file_date: str) -> None:
     """Input rows with their payloads, replacing earlier rows of the same files."""
+    configure(enriched.sparkSession)
     rows = records.landing_rows(enriched, F.lit(run_id), F.lit(file_date).cast("date"))
     rows = conform(rows.withColumn("created_at", F.current_timestamp()), "landing")
     files = [r.source_file for r in enriched.select("source_file").distinct().collect()]

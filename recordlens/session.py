@@ -22,6 +22,14 @@ TUNING = {
 }
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Sets the options of ``TUNING`` that a running session may change."""
+    for key, value in TUNING.items():
+        if spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
+    return spark
+
+
 def local_session(cores: int | str = "*", app: str = "recordlens") -> SparkSession:
     """Session for tests and the bench on one machine."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)

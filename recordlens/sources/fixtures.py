@@ -150,7 +150,7 @@ VIEWS: dict[str, tuple[str, list[str]]] = {
             WHEN c_custkey % 13 = 0 THEN '{broken'
             WHEN c_custkey % 5 = 2 THEN concat('{"id":', c_custkey, ',"employee_count":"n/a","locations":[]}')
             ELSE concat('{"id":', c_custkey, ',"post_count":', c_custkey % 40, ',"employee_count":"', c_custkey % 60,
-                '","locations":[{"address":{"country":" au"}},{"address":{"country":"US"}},{"address":{"country":"DE"}},{"address":{}}]}')
+                '","locations":[{"address":{"country":" au"}},"odd",{"address":"NZ"},7,null,["SG"],{"address":{"country":"US"}},{"address":{"country":"DE"}},{"address":{}}]}')
             END AS raw""",
     ]),
     "f_person_input": ("documents", [

@@ -5,8 +5,8 @@ import pytest
 
 import __spark_entry__ as entry
 
-JOBS = entry.queries()
-SQL = entry.oracle_sql()
+JOBS = {name: job for name, job in entry.queries().items() if name in entry._JOBS}
+SQL = {name: sql for name, sql in entry.oracle_sql().items() if name in entry._JOBS}
 
 
 @pytest.fixture(scope="module")

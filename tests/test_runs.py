@@ -69,6 +69,29 @@ def test_audit_run_sequence_equals_one_plan(spark, sf_dir, tmp_path):
         map(str, expected.select(*columns).collect()))
     assert stored.filter("direction <> 'FIRST_RUN'").count() > 0
 
+    # all days in one call
+    runs.audit_run(rows, *side, f"{root}/at_once")
+    again = table(spark, f"{root}/at_once", "quality_score")
+    assert sorted(map(str, again.select(*columns).collect())) == sorted(
+        map(str, expected.select(*columns).collect()))
+
+
+def test_priors_within_a_batch_and_from_history(spark):
+    schema = "run_id string, run_date string, domain string, market string, match_status string, quality_score double"
+    day = F.col("run_date").cast("date")
+    make = lambda rows: spark.createDataFrame(rows, schema).withColumn("run_date", day)
+    row = lambda day, score, market="AU", status="MATCHED": (f"T{day}", f"2024-01-0{day}", "a.com", market, status, score)
+    history = make([row(1, 10.0), row(2, 20.0), row(4, 40.0), row(3, 99.0), row(2, 7.0, None)])
+    batch = make([row(3, 30.0), row(5, 50.0), row(5, 1.0, None), row(5, 0.0, None, "UNMATCHED")])
+    got = {
+        (r.run_id, r.market, r.match_status): (r.prev_run_id, r.prev_quality_score)
+        for r in audit.with_prior(batch, history).collect()
+    }
+    assert got == {
+        ("T3", "AU", "MATCHED"): ("T2", 20.0), ("T5", "AU", "MATCHED"): ("T4", 40.0),
+        ("T5", None, "MATCHED"): ("T2", 7.0), ("T5", None, "UNMATCHED"): (None, None),
+    }
+
 
 def test_landing_replaces_files(spark, sf_dir, tmp_path):
     marked = records.mark_duplicates(fx.view(spark, sf_dir, "f_company_input"), "company")

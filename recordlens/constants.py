@@ -90,6 +90,7 @@ DELIVERABILITY_STATES = (
 )
 
 # --- weekly e-mail issues ----------------------------------------------------
+# Fixed output texts and numbers: the last text of a row is the value of ``root_cause``.
 # (category, issue, affected column, base column of the dashboard percent,
 #  base column of the score impact, root cause, weight in tenths)
 ISSUES = (

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordlens.llm import decontam, near_dedup, packing, quality, suffix_dedup
-from recordlens.llm.common import stored, table
+from recordlens.llm.common import reach_package, stored, table
 
 BPE = "byte_bpe_50k.json"
 
@@ -43,6 +43,7 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of at most 2048 tokens."""
+    reach_package(spark)
     return packing.pack(docs, public_tokenizers.path(BPE))
 
 

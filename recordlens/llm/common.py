@@ -2,14 +2,30 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def reach_package(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver has it.
+
+    Matters where the driver found it by ``sys.path`` alone; an installed package, or
+    one sent with ``--py-files``, is found anyway.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    given = spark.sparkContext.environment
+    paths = [p for p in given.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        given["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reach_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -36,6 +52,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     be deleted when the application has ended.
     """
     spark = df.sparkSession
+    reach_package(spark)
     app = spark.sparkContext.applicationId
     path = f"{shared_folder(spark)}/llm-{app}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
@@ -43,7 +60,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def components(edges: DataFrame, small: int = 200) -> DataFrame:
-    """Smallest reachable id of every node of ``edges`` (long columns ``a``, ``b``): ``node, root``.
+    """Smallest reachable id of the nodes of ``edges`` (long columns ``a``, ``b``) that are not it: ``node, root``.
 
     Alternating star contraction: each round links the neighbours of a node to
     the smallest of them, first the larger ones, then the smaller ones, until

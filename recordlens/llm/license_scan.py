@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recordlens.llm.common import reach_package
+
 _WORD = re.compile(r"[^\W_]+")
 
 # License lines and notices as authors paste them.
@@ -145,6 +147,7 @@ def scan(
     by one; an empty table gives no rows; other columns are ignored. Texts are scanned
     whole, where they lie: no shuffle.
     """
+    reach_package(docs.sparkSession)
     given = templates or TEMPLATES
 
     def run(batches):

@@ -10,6 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recordlens.llm.common import reach_package
 from recordlens.llm.transducer import in_blocks, transducer
 
 SCHEMA = (
@@ -82,6 +83,7 @@ def pack(
     A null or empty text is the end id alone; a null id stays null; repeated rows
     are packed one by one; an empty table gives no rows; other columns are ignored.
     """
+    reach_package(docs.sparkSession)
     if capacity & (capacity - 1):
         raise ValueError("capacity must be a power of two")
     end = np.array([end_id], "<u4").tobytes()

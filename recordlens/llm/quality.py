@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from recordlens.llm.common import reach_package
+
 _SIGNS = np.zeros(256, np.int64)  # 0 other, 1 upper case, 2 digit, 3 blank, 4 punctuation of prose, 5 any other sign
 for _chars, _k in (("ABCDEFGHIJKLMNOPQRSTUVWXYZ", 1), ("0123456789", 2), (" \t\n\r\f\x0b", 3), (".,;:'\"-?()", 4)):
     _SIGNS[[ord(c) for c in _chars]] = _k
@@ -190,6 +192,7 @@ def train(
     Null labels are left out; of repeated labels of an id the worst counts; ids
     without a document are left out. With no label of either class nothing is rejected.
     """
+    reach_package(docs.sparkSession)
     rows = _rows(docs, *columns)
     known = (
         labels.filter("doc_id is not null and quality is not null and toxic is not null")
@@ -252,6 +255,7 @@ def classify(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame
     stay null; repeated rows are scored alike; an empty table gives no rows; other
     columns are ignored.
     """
+    reach_package(docs.sparkSession)
     judged = _rows(docs, "doc_id", "text", "lang", "source", "n_chars").select(
         "doc_id", verdict(model, threshold)("text", "lang", "source", "n_chars").alias("v")
     )

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordlens.llm.common import stored
+from recordlens.llm.common import reach_package, stored
 
 _ODD = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_ODD, -1, 1 << 64)
@@ -357,6 +357,7 @@ def repeats(
     Ranges of a document may overlap. ``mark`` is a hash of the text, which tells rows
     of one id apart. A range may repeat; rows with equal id and text share their ranges.
     """
+    reach_package(docs.sparkSession)
     texts = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.hash(text_col).alias("mark"),
         F.coalesce(text_col, F.lit("")).alias("text"),

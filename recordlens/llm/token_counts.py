@@ -6,6 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recordlens.llm.common import reach_package
 from recordlens.llm.transducer import in_blocks, transducer
 
 
@@ -26,6 +27,8 @@ def token_counts(
     rows are counted one by one; an empty table gives no rows; other columns are ignored.
     """
 
+    reach_package(docs.sparkSession)
+
     def run(batches):
         if tokenizer.endswith(".model"):
             import sentencepiece

@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from recordlens.llm.common import shared_folder
+from recordlens.llm.common import reach_package, shared_folder
 from recordlens.llm.transducer import in_blocks, transducer
 
 _HEAD = struct.Struct("<4sIII")
@@ -180,6 +180,7 @@ def write(
     A null or empty text is the end id alone. Null ids come first; equal ids keep
     no set order among themselves. An empty table writes no blocks.
     """
+    reach_package(docs.sparkSession)
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
@@ -228,6 +229,7 @@ def open_store(spark: SparkSession, path: str) -> DataFrame:
 
 def _per_block(blocks: DataFrame, work, schema: str) -> DataFrame:
     """Runs ``work(start, doc_ids, n_tokens, matrix)`` for every block."""
+    reach_package(blocks.sparkSession)
 
     def run(batches):
         for b in batches:

@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from recordlens.llm.common import components, stored
+from recordlens.llm.common import components, reach_package, stored
 from recordlens.llm.suffix_dedup import _powers
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -97,7 +97,11 @@ def _sets(batches, words: int, rows: int = 256, size: int = 1_000_000):
 
 
 def _neighbours(width: int):
-    """Pairs of one tree's sorted order that are at most ``width`` rows apart and share the first four values."""
+    """Pairs of one tree's sorted order that are at most ``width`` rows apart and share the first four values.
+
+    A pair of a node with itself has in ``crowd`` how many rows have its whole label, if
+    there are three or more.
+    """
 
     def run(batches):
         tail = None
@@ -106,8 +110,11 @@ def _neighbours(width: int):
             if tail is not None:
                 cols = [np.concatenate([t, c]) for t, c in zip(tail, cols)]
             old = 0 if tail is None else len(tail[0])
-            tree, label, node, n = cols
-            a, b = [], []
+            tree, label, deep, node, n = cols
+            run = np.flatnonzero(np.concatenate([[True], (tree[1:] != tree[:-1]) | (label[1:] != label[:-1]) | (deep[1:] != deep[:-1])]))
+            size = np.repeat(np.diff(np.append(run, len(tree))), np.diff(np.append(run, len(tree))))
+            many = np.arange(len(tree))[old:][size[old:] >= 3]
+            a, b = [node[many]], [node[many]]
             for w in range(1, width + 1):
                 i = np.arange(max(w, old), len(tree))
                 j = i - w
@@ -116,13 +123,18 @@ def _neighbours(width: int):
                 a.append(np.minimum(node[i], node[j])[near])
                 b.append(np.maximum(node[i], node[j])[near])
             tail = [c[-width:] for c in cols]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+            a, b = np.concatenate(a), np.concatenate(b)
+            crowd = np.zeros(len(a), np.int64)
+            crowd[: len(many)] = size[many]
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(crowd)], names=["a", "b", "crowd"])
 
     return run
 
 
 def forest_pairs(nodes: DataFrame, trees: int, width: int, partitions: int) -> DataFrame:
-    """``a, b, votes``: candidate pairs and in how many trees they are neighbours (at least two).
+    """``a, b, votes, crowd``: candidate pairs and in how many trees they are neighbours (at least two).
+
+    Rows with ``a = b`` give in ``crowd`` how many rows share the node's labels, summed over trees.
 
     Each tree sorts the sets by their label of eight hash values, over all tasks by
     range, so a region of equal prefixes may lie in several tasks. Neighbours share four
@@ -135,8 +147,8 @@ def forest_pairs(nodes: DataFrame, trees: int, width: int, partitions: int) -> D
     ))))
     order = ["tree", "label", "deep", "node"]
     ranged = rows.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
-    near = ranged.select("tree", "label", "node", "n").mapInArrow(_neighbours(width), "a long, b long")
-    return near.groupBy("a", "b").agg(F.count("*").alias("votes")).filter("votes > 1")
+    near = ranged.select("tree", "label", "deep", "node", "n").mapInArrow(_neighbours(width), "a long, b long, crowd long")
+    return near.groupBy("a", "b").agg(F.count("*").alias("votes"), F.sum("crowd").alias("crowd")).filter("votes > 1 or a = b")
 
 
 def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -165,8 +177,8 @@ def near_duplicates(
     confirmed on the full sets. Equal sets are one node, so copies are never paired.
     Candidates come from the forest (``forest_pairs``). First each node is compared
     with its most frequent neighbour; then all pairs whose nodes are not in one
-    component yet; then nodes beside a large component with the ``hubs`` nodes of it
-    that have most links, until no link is added. So a large group costs a few
+    component yet; then nodes beside a component with the ``hubs`` nodes of it that are
+    most like the others, until no link is added. So a large group costs a few
     comparisons per member, not all pairs.
 
     Words are runs of bytes other than blanks, A-Z lower-cased. A text with fewer words
@@ -176,6 +188,7 @@ def near_duplicates(
     columns are ignored.
     """
     spark = docs.sparkSession
+    reach_package(spark)
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     schema = "doc_id long, n long, name binary, labels binary"
@@ -185,7 +198,8 @@ def near_duplicates(
         known.groupBy("name").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("labels").alias("labels")),
         "nodes",
     )
-    pairs = stored(forest_pairs(nodes, trees, width, partitions), "pairs")
+    forest = stored(forest_pairs(nodes, trees, width, partitions), "forest")
+    pairs, weight = forest.filter("a <> b").drop("crowd"), forest.filter("a = b").select(F.col("a").alias("node"), "crowd")
     members = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select("b")).distinct()
     set_schema = "node long, shingles array<long>"
 
@@ -203,21 +217,24 @@ def near_duplicates(
     links = stored(confirm(first, sets), "links")
     roots = components(links)
     left = stored(confirm(_apart(pairs, roots), sets), "links")
-    while not left.isEmpty():
-        links = links.unionAll(left)
-        roots = components(links)
-        degree = links.select(F.col("a").alias("node")).unionAll(links.select("b")).groupBy("node").count()
-        ranked = _with_roots(degree, roots)
-        order = Window.partitionBy("root").orderBy(F.desc("count"), "node")
-        large = roots.groupBy("root").count().filter(F.col("count") >= width).select("root")
+    # the text that others were copied from has the label that is most common among them, in every tree
+    order = Window.partitionBy("root").orderBy(F.desc("crowd"), "node")
+    while True:
+        if not left.isEmpty():
+            links = links.unionAll(left)
+            roots = components(links)
+        whole = roots.unionAll(roots.select("root", "root").distinct())  # a root is a node, too
+        large = whole.groupBy("root").count().filter(F.col("count") >= 3).select("root")
         top = (
-            ranked.join(large, "root").withColumn("place", F.row_number().over(order))
+            whole.join(weight, "node", "left").na.fill(0, ["crowd"]).join(large, "root").withColumn("place", F.row_number().over(order))
             .filter(F.col("place") <= hubs).select("root", F.col("node").alias("hub"))
         )
         apart = _apart(pairs, roots, keep_roots=True)
         beside = apart.select(F.col("a").alias("x"), F.col("rb").alias("root")).unionAll(apart.select("b", "ra")).distinct()
         asked = beside.join(top, "root").select(F.least("x", "hub").alias("a"), F.greatest("x", "hub").alias("b")).distinct()
         left = stored(confirm(asked, sets), "links")
+        if left.isEmpty():
+            break
     named = nodes.select("name", "node").join(roots, "node", "left").select(
         "name", F.coalesce("root", "node").alias("root")
     )
@@ -232,10 +249,6 @@ def near_duplicates(
     )
 
 
-def _with_roots(rows: DataFrame, roots: DataFrame) -> DataFrame:
-    return rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-
-
 def _apart(pairs: DataFrame, roots: DataFrame, keep_roots: bool = False) -> DataFrame:
     """Pairs whose nodes are in different components."""
     ra, rb = roots.toDF("a", "ra"), roots.toDF("b", "rb")

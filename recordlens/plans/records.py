@@ -48,9 +48,11 @@ def with_slug(rows: DataFrame, kind: str) -> DataFrame:
 def mark_duplicates(rows: DataFrame, kind: str) -> DataFrame:
     """Slug of each row and status 409 on later rows with the same slug, in file order.
 
-    Rows without a slug are never marked. ``row_no`` is the unique order.
+    Rows without a slug are never marked. The unique order is ``file_order`` (path, block
+    and line of rows read from files) where there is one, else ``row_no``.
     """
-    return mark_repeats(with_slug(rows, kind), ["slug"], "row_no", "status", "409")
+    order = "file_order" if "file_order" in rows.columns else "row_no"
+    return mark_repeats(with_slug(rows, kind), ["slug"], order, "status", "409")
 
 
 def duplicate_counts(marked: DataFrame) -> DataFrame:
@@ -103,6 +105,7 @@ def upsert_rows(enriched: DataFrame, stored: DataFrame | None, profile_type: str
         enriched = enriched.withColumn(
             "payload_slug", F.when(F.col("status") == "200", F.col("slug"))
         )
+    order = [c for c in ("file_order", "row_no") if c in enriched.columns]
     records = enriched.filter(F.col("status").isin("200", "404")).select(
         F.lit(K.PAYLOAD_PLATFORM).alias("platform"),
         F.coalesce(*filled, F.col("profile_link")).alias("handle"),
@@ -113,10 +116,10 @@ def upsert_rows(enriched: DataFrame, stored: DataFrame | None, profile_type: str
         T.payload_value(F.col("payload_raw"), "$.id", "string").alias("profile_id"),
         F.col("status").cast("int").alias("status_code"),
         T.payload_value(F.col("payload_raw"), "$.post_count", "double").alias("post_count"),
-        "row_no",
+        *order,
     )
-    first = keep_top(records, list(PAYLOAD_KEY), [F.col("row_no")])
-    return missing_rows(first, stored, list(PAYLOAD_KEY))
+    first = keep_top(records, list(PAYLOAD_KEY), [F.col(c) for c in order])
+    return missing_rows(first.drop("file_order"), stored, list(PAYLOAD_KEY))
 
 
 def landing_rows(enriched: DataFrame, run_id: Column, file_date: Column) -> DataFrame:

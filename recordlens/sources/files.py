@@ -116,10 +116,15 @@ def read_split_exports(spark: SparkSession, root: str, year: int) -> DataFrame:
 
 
 def read_inputs(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """People or company input files under the names used here, with file date."""
+    """People or company input files under the names used here, with file date.
+
+    ``file_order`` (path, block, line) is unique and orders the rows of all files, also
+    of files that differ in charset or header; ``row_no`` is a number made from it.
+    """
     rows = rename_inputs(read_csv_files(spark, paths))
     name = file_name(F.col("source_path"))
-    return rows.withColumn("source_file", name).withColumn("file_date", input_file_date(name))
+    number = F.xxhash64("file_order.path", "file_order.start", "file_order.n")
+    return rows.withColumns({"source_file": name, "file_date": input_file_date(name), "row_no": number})
 
 
 def read_payload_cache(spark: SparkSession, root: str) -> DataFrame:

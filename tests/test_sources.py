@@ -66,8 +66,7 @@ def test_inputs_with_aliases_and_file_order(spark, tmp_path):
         "A,linkedin.com/in/x,p1,,1\nB,https://www.linkedin.com/in/X/,,d2,2\nC,,,,3\nD,linkedin.com/in/x,p4,d4,4\n")
     rows = files.read_inputs(spark, [str(tmp_path)])
     assert "extra" in rows.columns and "criteria" in rows.columns
-    numbered = rows.withColumn("row_no", F.col("file_order.n"))
-    marked = records.mark_duplicates(numbered, "person")
+    marked = records.mark_duplicates(rows, "person")
     got = {r.full_name: r for r in marked.collect()}
     assert [got[n].status for n in "ABCD"] == [None, "409", None, "409"]
     # of several headers for the source the first filled one, in listed order
@@ -77,6 +76,24 @@ def test_inputs_with_aliases_and_file_order(spark, tmp_path):
     assert tuple(counts) == (4, 3, 1, 2)
 
 
+def test_inputs_of_different_headers_and_charsets(spark, tmp_path):
+    """Line numbers start again in every group of files; the order stays unique."""
+    (tmp_path / "a_2026-01-01.csv").write_text("Full Name,PERSON LINKEDIN\nA,linkedin.com/in/x\nB,linkedin.com/in/y\n")
+    (tmp_path / "b_2026-01-02.csv").write_text("PERSON LINKEDIN,Full Name\nlinkedin.com/in/x,C\nlinkedin.com/in/z,D\n")
+    (tmp_path / "c_2026-01-03.csv").write_bytes("Full Name,PERSON LINKEDIN\nÉ,linkedin.com/in/z\n".encode("latin-1"))
+    rows = files.read_inputs(spark, [str(tmp_path)])
+    assert rows.select("row_no").distinct().count() == 5
+    marked = records.mark_duplicates(rows, "person").collect()
+    assert {r.full_name: r.status for r in marked} == {"A": None, "B": None, "C": "409", "D": None, "É": "409"}
+    assert len(marked) == 5
+    looked_up = records.attach_payloads(
+        records.mark_duplicates(rows, "person"),
+        spark.createDataFrame([("x", "200", '{"id":1}')], "slug string, status string, raw string"),
+    )
+    added = records.upsert_rows(looked_up, None, "PERSON").collect()
+    assert {(r.handle, r.status_code) for r in added} == {("x", 200), ("y", 404), ("z", 404)}
+
+
 def test_payload_cache(spark, tmp_path):
     (tmp_path / "co 1.json").write_text('{"id":1,\n"post_count":2}')
     (tmp_path / "co2.json").write_text("{}")

@@ -60,6 +60,8 @@ def _website_hits(domains: DataFrame, catalog: DataFrame) -> DataFrame:
         parts.withColumn("size", F.explode(sizes))
         .select("id", "part", F.explode(_grams(F.col("part"), F.col("size"))).alias("gram"))
     )
+    # only pieces that some domain has can matter: the rest of the websites goes here, once
+    pieces = pieces.join(keyed.select("gram").distinct(), "gram", "left_semi")
     seen = pieces.groupBy("gram").agg(F.count("*").alias("seen"))
     rarest = (
         keyed.join(seen, "gram")

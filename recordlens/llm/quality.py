@@ -101,8 +101,10 @@ class Model:
         """Probabilities that a document is bad: by text, by metadata, by both."""
         if self.text is None or not len(texts):
             return (np.zeros(len(texts)),) * 3
-        x = np.stack([text_features(t, self.place) for t in texts])
-        m = np.stack([meta_features(*r) for r in zip(langs, sources, sizes)])
+        x = np.empty((len(texts), len(self.place) + 8), np.float32)
+        m = np.empty((len(texts), LANGS + SOURCES + 2), np.float32)
+        for i, (text, *meta) in enumerate(zip(texts, langs, sources, sizes)):
+            x[i], m[i] = text_features(text, self.place), meta_features(*meta)
         a, b = self.views(x, m)
         return _odds(a), _odds(b), _odds(_logit(np.stack([a, b], 1), self.both))
 

@@ -16,8 +16,10 @@ import json
 import os
 import re
 import unicodedata
+from array import array
 
 import numpy as np
+import xxhash
 
 # What the word pattern of byte-level tokenizers takes as one piece after an apostrophe.
 CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
@@ -42,7 +44,7 @@ class _State:
 
 
 class Transducer:
-    def __init__(self, path: str, max_states: int = 300_000, max_symbols: int = 400):
+    def __init__(self, path: str, max_states: int = 200_000, max_symbols: int = 400):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -165,15 +167,17 @@ class Transducer:
             extra = (s.rep[-1], s.blanks == 1, s.upto[n - 1] - s.upto[n])
         elif s.kind[:6] == "quote ":
             extra = (s.blanks,)
-        key = repr((s.kind, tail, live, tops, flags, anchored, extra)).encode()
+        key = xxhash.xxh3_128_digest(repr((s.kind, tail, live, tops, flags, anchored, extra)))
         got = self.known.get(key)
         if got is None:
             got = self.known[key] = len(self.states)
+            s.last, s.upto = array("i", s.last), array("i", s.upto)
             self.states.append(s)
             if got >= len(self.table):
-                self.table = np.concatenate([self.table, np.full_like(self.table, -1)])
-                self.tops = np.concatenate([self.tops, np.full_like(self.tops, -1)])
-                self.flags = np.concatenate([self.flags, np.zeros_like(self.flags)])
+                more = max(1024, len(self.table) // 4)
+                self.table = np.concatenate([self.table, np.full((more, self.columns), -1, np.int32)])
+                self.tops = np.concatenate([self.tops, np.full((more, 5), -1, np.int32)])
+                self.flags = np.concatenate([self.flags, np.zeros((more, 5), bool)])
             self.tops[got, :wide] = tops
             self.flags[got, :wide] = flags
             if s.kind == "blank":
@@ -445,7 +449,7 @@ def transducer(path: str) -> Transducer:
     return _MADE[path]
 
 
-def in_blocks(batches, rows: int = 1024, chars: int = 3_000_000):
+def in_blocks(batches, rows: int = 512, chars: int = 1_000_000):
     """``(id, text)`` pairs of Arrow batches in lists of bounded size; null texts are empty."""
     block, size = [], 0
     for batch in batches:

@@ -107,15 +107,17 @@ def passages(
     texts = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.xxhash64(F.col(text_col), F.lit(1)).alias("mark"),
-        words(F.col(text_col)).alias("w"),
+        F.col(text_col).alias("text"),
     )
     keys = ["doc_id", "mark"]
-    hits = hashed(texts, keys).join(F.broadcast(runs) if few else runs, "hash")
+    hits = hashed(texts.select(*keys, words(F.col("text")).alias("w")), keys).join(F.broadcast(runs) if few else runs, "hash")
     places = hits.select(*keys, (F.col("pos") - F.col("at")).alias("start"), "n").distinct()
     by_doc = places.groupBy(*keys).agg(F.collect_set(F.struct("start", "n")).alias("places"))
     by_doc = by_doc.toDF("hit_id", "hit_mark", "places")
     same = F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("mark") == F.col("hit_mark"))
-    found = texts.join(by_doc, same).select("doc_id", "w", F.inline("places"))
+    # texts are joined as they are and cut into words after: that shuffles fewer bytes
+    found = texts.join(by_doc, same).select("doc_id", "places", words(F.col("text")).alias("w"))
+    found = found.select("doc_id", "w", F.inline("places"))
     found = found.select(
         "doc_id", "n", F.greatest("start", F.lit(0)).alias("start"),
         F.expr("slice(w, greatest(start, 0) + 1, n + least(start, 0))").alias("v"),

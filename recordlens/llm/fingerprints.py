@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 BLANKS = " \t\n\r\f\x0b"
 _BITS = 25
+BROADCAST_RANGES = 1_000_000  # rows of two longs each: 16 MB
 
 
 def _uniform(bits: Column) -> Column:
@@ -45,6 +46,20 @@ def signature(terms: DataFrame, keys: list[str], samples: int) -> DataFrame:
     )
 
 
+def counted(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, term, weight``: distinct words of each row's array ``words`` and their counts.
+
+    Counted inside the row, by the ends of runs of its sorted hashes: no map of all
+    terms of a task, no shuffle.
+    """
+    hashed = rows.select(*keys, F.array_sort(F.transform("words", lambda w: F.xxhash64(w))).alias("h"))
+    ends = hashed.select(*keys, "h", F.expr(
+        "filter(sequence(1, size(h)), i -> i = size(h) or h[i - 1] <> h[least(i, size(h) - 1)])"
+    ).alias("ends"))
+    runs = "transform(ends, (e, j) -> struct(h[e - 1] as term, e - if(j = 0, 0, ends[greatest(j - 1, 0)]) as weight))"
+    return ends.select(*keys, F.inline(F.expr(runs)))
+
+
 def likeness(a: Column, b: Column, samples: int) -> Column:
     """Share of equal samples of two fingerprints."""
     same = [F.when(a.substr(8 * k + 1, 8) == b.substr(8 * k + 1, 8), 1).otherwise(0) for k in range(samples)]
@@ -66,8 +81,11 @@ def in_order(docs: DataFrame) -> DataFrame:
     want = min(max(n // parts, 64), 20_000)
     width = max(1, (hi - lo + 1) * want // max(n, 1))
     place = lambda w: F.coalesce(F.floor((F.col("doc_id") - lo) / F.lit(w)), F.lit(-1)).cast("long")
-    while width > 1 and (ids.groupBy(place(width).alias("p")).count().agg(F.max("count")).first()[0] or 0) > 4 * want:
+    sizes = lambda w: ids.groupBy(place(w).alias("p")).count().agg(F.max("count"), F.count("*")).first()
+    most, ranges = sizes(width)
+    while width > 1 and (most or 0) > 4 * want:
         width = max(1, width // 8)
+        most, ranges = sizes(width)
     rows = docs.select(place(width).alias("part"), F.lit(True).alias("real"), "doc_id", "text")
     heads = ids.groupBy(place(width).alias("part")).agg(F.min("doc_id").alias("doc_id"))
     every = Window.orderBy("part")
@@ -76,6 +94,8 @@ def in_order(docs: DataFrame) -> DataFrame:
         F.coalesce(F.lag("part").over(every), F.last("part").over(first)).alias("part"),
         F.col("doc_id").alias("head_id"),
     )
+    if ranges <= BROADCAST_RANGES:
+        before = F.broadcast(before)
     texts = (
         docs.join(before, docs["doc_id"].eqNullSafe(before["head_id"]))
         .groupBy("part", "doc_id").agg(F.min("text").alias("text"))
@@ -116,9 +136,9 @@ def fingerprints(
         F.struct(F.lit(1).alias("side"), F.col("edited").alias("t")),
     )
     words = rows.select("part", "rank", F.inline(both)).filter("t is not null").select(
-        "part", "rank", "side", F.explode(F.split(F.btrim("t", F.lit(BLANKS)), "[ \\t\\n\\r\\f\\x0b]+")).alias("word")
+        "part", "rank", "side", F.split(F.btrim("t", F.lit(BLANKS)), "[ \\t\\n\\r\\f\\x0b]+").alias("words")
     )
-    terms = words.groupBy("part", "rank", "side", F.xxhash64("word").alias("term")).agg(F.count("*").alias("weight"))
+    terms = counted(words, ["part", "rank", "side"])
     signs = signature(terms, ["part", "rank", "side"], samples)
     # the sides of a document, then the next document
     order = Window.partitionBy("part").orderBy("rank", "side")

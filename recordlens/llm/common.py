@@ -56,7 +56,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     app = spark.sparkContext.applicationId
     path = f"{shared_folder(spark)}/llm-{app}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.stored_path = path
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Deletes tables of ``stored`` that no frame still to be computed reads."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table.stored_path)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def components(edges: DataFrame, small: int = 200) -> DataFrame:
@@ -77,6 +87,7 @@ def components(edges: DataFrame, small: int = 200) -> DataFrame:
     )
     before = None
     for _ in range(small):
+        old = edges
         # large star: every larger neighbour of a node goes to the node's smallest neighbour
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select(
@@ -96,8 +107,11 @@ def components(edges: DataFrame, small: int = 200) -> DataFrame:
             .distinct(),
             "edges",
         )
+        release(old)
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % F.lit(1 << 30))).first())
         if now == before:
             break
         before = now
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    roots = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    roots.stored_path = edges.stored_path
+    return roots

@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from recordlens.llm.common import components, reach_package, stored
+from recordlens.llm.common import components, reach_package, release, stored
 from recordlens.llm.suffix_dedup import _powers
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -210,19 +210,23 @@ def near_duplicates(
                 names=["node", "shingles"],
             )
 
-    sets = stored(texts.join(members, "doc_id").select("doc_id", "text").mapInArrow(full, set_schema), "sets")
+    # the list of members outgrows any broadcast: plan for that at every size
+    sets = stored(texts.join(members.hint("merge"), "doc_id").select("doc_id", "text").mapInArrow(full, set_schema), "sets")
     ends = pairs.select("a", "b", "votes", F.inline(F.array(F.struct(F.col("a").alias("x")), F.struct(F.col("b").alias("x")))))
     best = Window.partitionBy("x").orderBy(F.desc("votes"), "a", "b")
     first = ends.withColumn("place", F.row_number().over(best)).filter("place = 1").select("a", "b").distinct()
     links = stored(confirm(first, sets), "links")
+    found = [links]
     roots = components(links)
     left = stored(confirm(_apart(pairs, roots), sets), "links")
     # the text that others were copied from has the label that is most common among them, in every tree
     order = Window.partitionBy("root").orderBy(F.desc("crowd"), "node")
     while True:
+        found.append(left)
         if not left.isEmpty():
             links = links.unionAll(left)
-            roots = components(links)
+            old, roots = roots, components(links)
+            release(old)
         whole = roots.unionAll(roots.select("root", "root").distinct())  # a root is a node, too
         large = whole.groupBy("root").count().filter(F.col("count") >= 3).select("root")
         top = (
@@ -235,6 +239,7 @@ def near_duplicates(
         left = stored(confirm(asked, sets), "links")
         if left.isEmpty():
             break
+    release(*found, left, forest, sets)
     named = nodes.select("name", "node").join(roots, "node", "left").select(
         "name", F.coalesce("root", "node").alias("root")
     )

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordlens.llm.common import reach_package, stored
+from recordlens.llm.common import reach_package, release, stored
 
 _ODD = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_ODD, -1, 1 << 64)
@@ -368,6 +368,7 @@ def repeats(
         F.count("*").alias("rows"), F.min("h").alias("one"), F.max("h").alias("other"), F.max("twice").alias("twice")
     ).filter("rows > 1 or twice").select("key", F.expr("one = other and rows > 1").alias("single"))
     met = stored(found.drop("twice").join(keys, "key"), "met-windows")
+    release(found)
     # equal windows only: matched as a whole
     whole = met.filter("single").select(
         "doc_id", "mark", F.col("start").alias("low"), (F.col("start") + F.col("count") + (length - 1)).alias("high")
@@ -383,8 +384,10 @@ def repeats(
     raws = texts.join(wanted, same).select(F.col("text").cast("binary").alias("raw"), F.inline("cut")).select(
         "key", "h", "n", F.expr(f"substring(raw, int(start) + 1, count + {length - 1})").alias("raw")
     ).dropDuplicates(["key", "h"])
-    marks = _marks(stored(raws, "window-bytes"), length, k, most, block, (16, 1))
-    parts = mixed.join(stored(marks, "marks"), ["key", "h"]).select(
+    raws = stored(raws, "window-bytes")
+    marks = stored(_marks(raws, length, k, most, block, (16, 1)), "marks")
+    release(raws)
+    parts = mixed.join(marks, ["key", "h"]).select(
         "doc_id", "mark", (F.col("start") + F.col("low")).alias("low"), (F.col("start") + F.col("high")).alias("high")
     )
     return whole.unionAll(parts)

@@ -161,6 +161,78 @@ def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     ).select("a", "b").distinct()
 
 
+def _usual(words: int):
+    """Each shingle of each set, one a row."""
+
+    def run(batches):
+        for _, sets in _sets(batches, words):
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64))], names=["token"])
+
+    return run
+
+
+def _prefixes(words: int, usual):
+    """Ids, set sizes and the shingles of which two sets share one if their similarity is 0.8.
+
+    Each set is ordered by how usual its shingles are (the list ``usual`` last, by rank),
+    then by hash. Two such sets share 80 % of either, so the first shared one is among
+    the first 20 % and one of both.
+    """
+
+    def run(batches):
+        tokens, ranks = usual.value
+        for ids, sets in _sets(batches, words):
+            rows = [(i, s) for i, s in zip(ids, sets) if len(s)]
+            heads = []
+            for _, s in rows:
+                rank = np.zeros(len(s), np.int64)
+                if len(tokens):
+                    at = np.minimum(np.searchsorted(tokens, s), len(tokens) - 1)
+                    rank = np.where(tokens[at] == s, ranks[at], 0)
+                heads.append(s[np.argsort(rank, kind="stable")[: len(s) - -(-4 * len(s) // 5) + 1]].view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([i for i, _ in rows], pa.int64()), pa.array([len(s) for _, s in rows], pa.int64()), pa.array(heads, pa.list_(pa.int64()))],
+                names=["node", "n", "tokens"],
+            )
+
+    return run
+
+
+def prefix_pairs(texts: DataFrame, nodes: DataFrame, roots: DataFrame, words: int, block: int, listed: int = 300_000) -> DataFrame:
+    """``a, b`` of different components: all pairs that can have a similarity of 0.8 (an exact prefix join).
+
+    The order of the shingles only decides how many pairs are compared, not which are
+    found, so it comes from an eighth of the documents. Shingles met in one component
+    only are dropped. A shingle of more than ``block`` sets is dealt out in blocks
+    against blocks, so no task has all its pairs.
+    """
+    spark = texts.sparkSession
+    some = texts.filter(F.pmod(F.xxhash64("doc_id"), F.lit(8)) == 0).select("doc_id", "text")
+    counts = some.mapInArrow(_usual(words), "token long").groupBy("token").count().filter("count > 1")
+    top = counts.orderBy(F.desc("count"), "token").limit(listed).toPandas()
+    tokens = top["token"].to_numpy(np.int64).view(np.uint64)
+    by_hash = np.argsort(tokens)
+    usual = spark.sparkContext.broadcast((tokens[by_hash], len(tokens) - by_hash))
+    heads = texts.select("doc_id", "text").mapInArrow(_prefixes(words, usual), "node long, n long, tokens array<long>")
+    heads = stored(heads.join(nodes.select("node", "n"), ["node", "n"], "left_semi").join(roots, "node", "left"), "heads")
+    posts = heads.select("node", F.coalesce("root", "node").alias("root"), "n", F.posexplode("tokens").alias("pos", "token"))
+    mixed = posts.groupBy("token").agg(
+        F.min("root").alias("one"), F.max("root").alias("other"), F.ceil(F.count("*") / block).cast("int").alias("cuts")
+    ).filter("one <> other").select("token", "cuts")
+    live = stored(posts.join(mixed, "token"), "posts")
+    own, every = F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int"), F.explode(F.expr("sequence(0, cuts - 1)"))
+    side = ["token", "node", "root", "n", "pos"]
+    left = live.select(*side, own.alias("i"), every.alias("j")).toDF("token", "a", "ra", "na", "pa", "i", "j")
+    right = live.select(*side, own.alias("j"), every.alias("i")).toDF("token", "b", "rb", "nb", "pb", "j", "i")
+    # 9 * common >= 4 * (na + nb), and no more than the rest of either set is common
+    pairs = left.join(right, ["token", "i", "j"]).filter(
+        "a < b and ra <> rb and 9 * least(na - pa, nb - pb) >= 4 * (na + nb)"
+    )
+    pairs = stored(pairs.select("a", "b").distinct(), "rest")
+    release(heads, live)
+    return pairs
+
+
 def near_duplicates(
     docs: DataFrame,
     words: int = 5,
@@ -170,6 +242,7 @@ def near_duplicates(
     seed: int = 7,
     id_col: str = "doc_id",
     text_col: str = "text",
+    block: int = 500,
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every row; documents of a component reach each other by links.
 
@@ -210,8 +283,12 @@ def near_duplicates(
                 names=["node", "shingles"],
             )
 
-    # the list of members outgrows any broadcast: plan for that at every size
-    sets = stored(texts.join(members.hint("merge"), "doc_id").select("doc_id", "text").mapInArrow(full, set_schema), "sets")
+    def sets_of(members):
+        # the list of members outgrows any broadcast: plan for that at every size
+        rows = texts.join(members.hint("merge"), "doc_id").select("doc_id", "text")
+        return stored(rows.mapInArrow(full, set_schema), "sets")
+
+    sets = sets_of(members)
     ends = pairs.select("a", "b", "votes", F.inline(F.array(F.struct(F.col("a").alias("x")), F.struct(F.col("b").alias("x")))))
     best = Window.partitionBy("x").orderBy(F.desc("votes"), "a", "b")
     first = ends.withColumn("place", F.row_number().over(best)).filter("place = 1").select("a", "b").distinct()
@@ -239,7 +316,21 @@ def near_duplicates(
         left = stored(confirm(asked, sets), "links")
         if left.isEmpty():
             break
-    release(*found, left, forest, sets)
+    release(left, forest, sets)
+    rest = prefix_pairs(texts.filter("doc_id is not null"), nodes, roots, words, block)
+    if not rest.isEmpty():
+        sets = sets_of(rest.select(F.col("a").alias("doc_id")).unionAll(rest.select("b")).distinct())
+        # first one pair a node, which joins most of what is left; then all pairs still apart
+        one = rest.groupBy("a").agg(F.min("b").alias("b"))
+        for asked in (lambda: one, lambda: _apart(rest, roots)):
+            left = stored(confirm(asked(), sets), "links")
+            found.append(left)
+            if not left.isEmpty():
+                links = links.unionAll(left)
+                old, roots = roots, components(links)
+                release(old)
+        release(sets)
+    release(*found, rest)
     named = nodes.select("name", "node").join(roots, "node", "left").select(
         "name", F.coalesce("root", "node").alias("root")
     )

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 from compare import connect, diff
 
 from recordlens.llm import near_dedup, queries
@@ -64,3 +65,30 @@ def test_odd_rows(odd, odd_rows):
     assert by_id[5].n_shingles == 1 and by_id[None].component_id is None and by_id[None].kept
     assert by_id[8].n_shingles == 5
     assert near_dedup.near_duplicates(odd.limit(0)).count() == 0
+
+
+def test_links_inside_a_crowd(spark):
+    """Thousands of versions of one template: most pairs are just below 0.8, some hundred are links."""
+    rnd = random.Random(5)
+    fresh = (f"n{k}" for k in range(10**9))
+
+    def changed(text, n):
+        places = set(rnd.sample(range(200), n))
+        return [next(fresh) if k in places else w for k, w in enumerate(text)]
+
+    template = [next(fresh) for _ in range(200)]
+    shared = {w: k for k, w in enumerate(template)}
+    texts = [changed(template, 14) for _ in range(2500)]
+    held = np.zeros((len(texts), len(shared)), np.float32)
+    for i, text in enumerate(texts):
+        held[i, [shared[w] for w in text if w in shared]] = 1
+    common = held @ held.T  # all other words stand in one text only
+    np.fill_diagonal(common, 200)
+    near = 100 * common >= 80 * (400 - common)
+    root = np.arange(len(texts))
+    while (new := np.where(near, root, len(texts)).min(axis=1)).tolist() != root.tolist():
+        root = new
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs, words=1).collect()}
+    assert (np.bincount(root) > 1).sum() >= 20
+    assert got == dict(enumerate(root.tolist()))

@@ -85,9 +85,10 @@ def passages(
 ) -> DataFrame:
     """``doc_id, item_id, similarity, start_word, n_words``: the best window of each document and item.
 
-    A window has as many words as an item. Windows that share no five words with any
-    item at the item's place cannot be similar and are not built: places come from a
-    join of all runs of five words of all documents with those of the items. Equal
+    A window has as many words as an item and may start anywhere. Only windows that hold
+    enough runs of five words of the items of their size, in whatever order, can be
+    similar, and all of those are built: runs come from a join of all runs of five words
+    of all documents with those of the items. Equal
     windows are then one row. Each gets a SimHash of its words; blocks of bits find all
     items of the window's size within ``radius`` bits; the weighted shingle similarity
     of window and item decides. The items' runs are counted: up to
@@ -102,7 +103,7 @@ def passages(
         benchmark.select(F.col(item_col).cast("long").alias("item_id"), words(F.col(text_col)).alias("w"))
         .filter("size(w) > 0").withColumn("n", F.size("w"))
     )
-    runs = hashed(items, ["n"]).select("hash", F.col("pos").alias("at"), "n").distinct()
+    runs = hashed(items, ["n"]).select("hash", "n").distinct()
     few = runs.count() <= BROADCAST_SHINGLES
     texts = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
@@ -111,13 +112,29 @@ def passages(
     )
     keys = ["doc_id", "mark"]
     hits = hashed(texts.select(*keys, words(F.col("text")).alias("w")), keys).join(F.broadcast(runs) if few else runs, "hash")
-    places = hits.select(*keys, (F.col("pos") - F.col("at")).alias("start"), "n").distinct()
-    by_doc = places.groupBy(*keys).agg(F.collect_set(F.struct("start", "n")).alias("places"))
+    # A window of ``a`` runs and an item of ``m`` share at least t / (1 + t) * (a + m) runs: 2 * t / (1 + t) * m
+    # for whole windows, t * m for those cut at an end of the document.
+    at = hits.groupBy(*keys, "n").agg(F.sort_array(F.collect_set("pos")).alias("at"))
+    at = at.withColumn("m", F.greatest(F.col("n") - (SHINGLE - 1), F.lit(1)))
+    shares = F.array(*(
+        F.struct(F.lit(cut).alias("cut"), F.greatest(F.ceil(F.lit(share) * F.col("m") - 1e-9), F.lit(1)).cast("int").alias("need"))
+        for cut, share in ((False, 2 * threshold / (1 + threshold)), (True, threshold))
+    ))
+    # the windows that hold both the k-th run and the one ``need - 1`` runs after it
+    spans = at.select(*keys, "n", "m", "at", F.inline(shares)).filter("need <= size(at)").select(
+        *keys, "n", "cut", F.explode(F.expr(
+            "filter(transform(slice(at, 1, size(at) - need + 1), (low, k) -> "
+            "named_struct('low', at[k + need - 1] - m + 1, 'high', low)), x -> x.low <= x.high)"
+        )).alias("x")
+    )
+    by_doc = spans.groupBy(*keys).agg(F.collect_set(F.struct("x.low", "x.high", "n", "cut")).alias("places"))
     by_doc = by_doc.toDF("hit_id", "hit_mark", "places")
     same = F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("mark") == F.col("hit_mark"))
     # texts are joined as they are and cut into words after: that shuffles fewer bytes
     found = texts.join(by_doc, same).select("doc_id", "places", words(F.col("text")).alias("w"))
-    found = found.select("doc_id", "w", F.inline("places"))
+    found = found.select("doc_id", "w", F.inline("places")).select(
+        "doc_id", "w", "n", "cut", F.explode(F.expr("sequence(low, high)")).alias("start")
+    ).filter("not cut or start < 0 or start + n > size(w)")
     found = found.select(
         "doc_id", "n", F.greatest("start", F.lit(0)).alias("start"),
         F.expr("slice(w, greatest(start, 0) + 1, n + least(start, 0))").alias("v"),

@@ -123,3 +123,28 @@ def test_shuffled_rules_give_the_same(spark, monkeypatch):
     assert decontam.passages(docs, items).count() == 1
     pages = spark.createDataFrame([(1, "a://b.net/")], "page_id long, url string")
     assert url_rules.judge(pages).first().rule == "net/"
+
+
+def test_passages_in_another_order(spark):
+    """Every item-sized window against every item, by brute force; halves and sentences are exchanged."""
+    items = [(k, [f"i{k}w{j}" for j in range(n)]) for k, n in enumerate((60, 60, 45, 90))]
+    pad = [f"p{j}" for j in range(70)]
+    mixed = [w[h:] + w[:h] for _, w in items for h in (len(w) // 2, len(w) // 3)]
+    mixed += [w[40:] + w[20:40] + w[:20] for _, w in items] + [w[1:] for w in mixed[:2]] + [w[:5] + w[9:] for _, w in items]
+    docs = list(enumerate([pad[:a] + w + pad[:b] for w in mixed for a, b in ((0, 0), (30, 40), (0, 50), (25, 0))]))
+
+    def runs(w):
+        return collections.Counter(tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4)))
+
+    want = {}
+    for i, w in docs:
+        for k, item in items:
+            for start in range(-len(item) + 1, len(w)):
+                a, b = runs(w[max(start, 0) : start + len(item)]), runs(item)
+                s = sum((a & b).values()) / sum((a | b).values())
+                if s >= 0.8 and s > want.get((i, k), (0,))[0]:
+                    want[i, k] = s, max(start, 0)
+    frame = spark.createDataFrame([(i, " ".join(w)) for i, w in docs], "doc_id long, text string")
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.similarity, r.start_word) for r in decontam.passages(frame, bench).collect()}
+    assert len(want) > 40 and got == want

@@ -31,8 +31,8 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the strings of 400 bytes that stand more than once."""
-    return suffix_dedup.remove(docs)
+    """All documents, without the strings of 400 bytes and the passages of over 50 words that stand more than once."""
+    return suffix_dedup.remove(docs, words=50)
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -446,11 +446,33 @@ def digests(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col
     return rows.select(*cells).mapInArrow(run, schema)
 
 
-def remove(docs: DataFrame, length: int = 400, text_col: str = "text", size_col: str = "n_chars") -> DataFrame:
+def _passages(raw: bytes, spans, length: int, least: int, words: int) -> list[list[int]]:
+    """Runs of repeated strings of ``least`` bytes that have ``length`` bytes or more than ``words`` whole words."""
+    runs: list[list[int]] = []
+    for low, high in sorted((s["low"], s["high"]) for s in spans):
+        if runs and low <= runs[-1][1] - least + 1:  # strings start at every byte from one to the other
+            runs[-1][1] = max(runs[-1][1], high)
+        else:
+            runs.append([low, high])
+
+    def whole(low, high):
+        part = raw[low:high].split()
+        cut = (low > 0 and raw[low - 1 : low + 1].strip() == raw[low - 1 : low + 1]) + (high < len(raw) and raw[high - 1 : high + 1].strip() == raw[high - 1 : high + 1])
+        return len(part) - cut
+
+    return _merge([{"low": a, "high": b} for a, b in runs if b - a >= length or whole(a, b) > words])
+
+
+def remove(
+    docs: DataFrame, length: int = 400, text_col: str = "text", size_col: str = "n_chars", words: int | None = None
+) -> DataFrame:
     """``docs`` with long repeats cut out of the text and ``n_chars`` set anew; the same rows and columns.
 
-    A character of which a byte is removed goes as a whole.
+    A character of which a byte is removed goes as a whole. With ``words``, repeated
+    passages of more than so many words go as well, whatever their bytes: strings are
+    looked for from the fewest bytes that such a passage can have.
     """
+    least = length if words is None else min(length, 2 * words + 1)
 
     @F.pandas_udf("string")
     def cut(texts, ranges):
@@ -462,13 +484,13 @@ def remove(docs: DataFrame, length: int = 400, text_col: str = "text", size_col:
                 out.append(text)
                 continue
             raw, at, parts = text.encode(), 0, []
-            for low, high in _merge(list(spans)):
+            for low, high in _merge(list(spans)) if words is None else _passages(raw, list(spans), length, least, words):
                 parts.append(raw[at:low].decode(errors="ignore"))
                 at = high
             out.append("".join([*parts, raw[at:].decode(errors="ignore")]))
         return pd.Series(out, dtype=object)
 
-    rows = with_ranges(docs, text_col=text_col, length=length).withColumn("kept", cut(f"row.{text_col}", "ranges"))
+    rows = with_ranges(docs, text_col=text_col, length=least).withColumn("kept", cut(f"row.{text_col}", "ranges"))
     new = {text_col: F.col("kept")}
     if size_col in docs.columns:
         kind = docs.schema[size_col].dataType

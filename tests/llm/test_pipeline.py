@@ -1,6 +1,7 @@
 """Each stage against brute force on what the stage before it kept."""
 
 import collections
+import random
 
 import corpus_pipeline
 import public_tokenizers
@@ -51,6 +52,21 @@ def test_repeat_stage(kept):
         assert 0 <= len(old.encode()) - removed - len(new.encode()) <= 6 * (removed > 0)
 
 
+def test_repeated_passages_of_51_words(spark, sf_dir):
+    for size in (1, 3, 6):  # 50 of them are below 400 bytes
+        word = lambda k: f"{k:x}".rjust(size, "q")[-size:]  # noqa: E731,B023
+        rnd = random.Random(size)
+        passage = {n: " ".join(word(rnd.getrandbits(36)) for _ in range(n)) for n in (50, 51)}
+        # nothing beside a passage is equal by chance but the blanks
+        ahead, after = ([" ".join(w.format(c, j) for j in range(60)) for c in "KLMNO"] for w in ("{1}{0}", "{0}{1}"))
+        texts = [f"{ahead[k]} {passage[n]} {after[k]}" for k, n in enumerate((50, 51, 50, 51))] + [ahead[4]]
+        docs = spark.createDataFrame([(k, t, len(t)) for k, t in enumerate(texts)], "doc_id long, text string, n_chars long")
+        got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.unrepeated(spark, docs, sf_dir).collect()}
+        for k, text in enumerate(texts):
+            want = ahead[k] + after[k] if k in (1, 3) else text
+            assert got[k] == (want, len(want))
+
+
 def test_decontamination_stage(spark, sf_dir, kept):
     items = [" ".join(r.text.lower().split()) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
     left = dict(rows(kept[4]))

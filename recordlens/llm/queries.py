@@ -7,16 +7,19 @@ import public_tokenizers
 from recordlens.llm import (
     decontam,
     fingerprints,
+    jaccard_join,
     license_scan,
     near_dedup,
     packing,
+    periodic_runs,
     quality,
+    spelling,
     suffix_dedup,
     token_counts,
     token_store,
     url_rules,
 )
-from recordlens.llm.common import table
+from recordlens.llm.common import stored, table
 
 BPE = "byte_bpe_50k.json"
 
@@ -64,11 +67,26 @@ def op10_quality(spark, sf_dir):
     return quality.classify(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_periodic_runs(spark, sf_dir):
+    docs = periodic_runs.planted(table(spark, sf_dir, "documents"))
+    return periodic_runs.digests(periodic_runs.periodic_runs(docs))
+
+
+def op12_jaccard_join(spark, sf_dir):
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling(spark, sf_dir):
+    words = spelling.vocabulary(table(spark, sf_dir, "documents"), edit=97)
+    return spelling.spelling_groups(stored(words, "words"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_suffix_dedup, op2_token_store, op3_license_scan, op4_near_dedup, op5_url_rules,
-        op6_token_counts, op7_packing, op8_fingerprints, op9_decontamination, op10_quality,
+        op6_token_counts, op7_packing, op8_fingerprints, op9_decontamination, op10_quality, op11_periodic_runs, op12_jaccard_join,
+        op13_spelling,
     )
 }
 
@@ -76,4 +94,5 @@ ORACLE_SQL = {
     "op4_near_dedup": near_dedup.ORACLE,
     "op5_url_rules": f"SELECT * EXCLUDE (pattern_rule) FROM ({url_rules.ORACLE})",
     "op9_decontamination": decontam.ORACLE,
+    "op12_jaccard_join": jaccard_join.ORACLE,
 }

@@ -18,7 +18,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordlens.llm.common import components, reach_package, release, stored
@@ -56,9 +56,10 @@ def _posts(words: int, part: int, asked: bool):
                 sets = [s if i == name else s[:0] for i, name, s in zip(ids, names.tolist(), sets)]
             if part > 1:
                 sets = [s[: np.searchsorted(s, np.uint64((1 << 64) // part))] for s in sets]
-            node = np.repeat(names, [len(s) for s in sets])
+            many = np.array([len(s) for s in sets], np.int64)
             token = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(node)], names=["token", "node"])
+            cols = [token.view(np.int64), np.repeat(names, many)] + ([np.repeat(many, many)] if asked else [])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["token", "node", "n"][: len(cols)])
 
     return run
 
@@ -74,11 +75,11 @@ def _shared(limit: int):
     def run(batches):
         held = None
 
-        def out(token, node, count):
+        def out(token, node, n, count):
             place = np.minimum(count, limit) + (token.view(np.uint64) >> np.uint64(24)) / float(1 << 40)
             live = count > 1
             return pa.RecordBatch.from_arrays(
-                [pa.array(node[live]), pa.array(place[live]), pa.array(token[live])], names=["node", "place", "token"]
+                [pa.array(c[live]) for c in (node, n, place, token)], names=["node", "n", "place", "token"]
             )
 
         def counted(token, more):
@@ -93,61 +94,94 @@ def _shared(limit: int):
             if not len(cols[0]):
                 continue
             held = cols if held is None else [np.concatenate([h, c]) for h, c in zip(held, cols)]
-            token, node = held
+            token, node, n = held
             edge, size = counted(token, passed if passed_token == token[0] else 0)
             count = np.repeat(size, np.diff(np.append(edge, len(token))))
             # the last n-gram may go on: its rows wait, unless it is past the limit anyway
             end = int(edge[-1]) if size[-1] < limit else len(token)
             if end:
-                yield out(token[:end], node[:end], count[:end])
+                yield out(token[:end], node[:end], n[:end], count[:end])
                 if end == len(token):
                     passed, passed_token = int(size[-1]), token[-1]
                 held = [c[end:] for c in held] if end < len(token) else None
         if held is not None and len(held[0]):
-            token, node = held
+            token, node, n = held
             edge, size = counted(token, passed if passed_token == token[0] else 0)
             count = np.repeat(size, np.diff(np.append(edge, len(token))))
-            yield out(token, node, count)
+            yield out(token, node, n, count)
 
     return run
 
 
-def _adjacent():
-    """Pairs of rows next to each other that share an n-gram."""
+PARITY = [f"p{k}" for k in range(8)]
+
+
+def _parities() -> list[Column]:
+    """Parities of 512 small fragments of a set (by hash), as bits of eight numbers."""
+    bit = F.expr("shiftleft(1L, int(token & 63))")
+    word = F.expr("int(shiftright(token, 6) & 7)")
+    return [F.bit_xor(F.when(word == k, bit).otherwise(F.lit(0))).alias(name) for k, name in enumerate(PARITY)]
+
+
+def _may_link(percent: int) -> str:
+    """Whether a pair of rows of ``firsts`` that share an n-gram may reach the threshold, in SQL.
+
+    Nothing is common before the first common n-gram. Lonely n-grams, and one more wherever
+    the parities of a fragment differ, stand in one of the two sets only.
+    """
+    apart = " + ".join(["la", "lb", *(f"bit_count(a{p} ^ b{p})" for p in PARITY)])
+    return (
+        f"{100 + percent} * least(na - pa, nb - pb) >= {percent} * (na + nb)"
+        f" and {100 + percent} * (na + nb - ({apart})) >= {2 * percent} * (na + nb)"
+    )
+
+
+def _adjacent(percent: int, width: int):
+    """Pairs ``a, b`` of rows at most ``width`` places apart that share an n-gram and may link (see ``_may_link``)."""
 
     def run(batches):
         tail = None
         for batch in batches:
             cols = [c.to_numpy() for c in batch.columns]
+            old = 0 if tail is None else len(tail[0])
             if tail is not None:
                 cols = [np.concatenate([t, c]) for t, c in zip(tail, cols)]
-            tail = [c[-1:] for c in cols]
-            token, n, pos, node = cols
-            i = np.flatnonzero(token[1:] == token[:-1])
+            tail = [c[-width:] for c in cols]
+            token, n, pos, lonely, node, *parity = cols
+            pairs = []
+            for w in range(1, width + 1):
+                j = np.arange(max(w, old), len(token))
+                i = j - w
+                alike = token[i] == token[j]
+                i, j = i[alike], j[alike]
+                both = n[i] + n[j]
+                apart = lonely[i] + lonely[j]
+                for p in parity:
+                    apart += np.bitwise_count((p[i] ^ p[j]).view(np.uint64)).astype(np.int64)
+                fits = (100 + percent) * np.minimum(n[i] - pos[i], n[j] - pos[j]) >= percent * both
+                fits &= (100 + percent) * (both - apart) >= 2 * percent * both
+                pairs.append((np.minimum(node[i], node[j])[fits], np.maximum(node[i], node[j])[fits]))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c[j]) for c in (node, n, pos) for j in (i, i + 1)], names=["a", "b", "na", "nb", "pa", "pb"]
+                [pa.array(np.concatenate([p[k] for p in pairs])) for k in (0, 1)], names=["a", "b"]
             )
 
     return run
 
 
-def linked(pairs: DataFrame, pieces: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+def linked(pairs: DataFrame, pieces: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` whose partial overlaps, summed over the fragments, reach ``percent`` of the union."""
-    left = pieces.select(F.col("node").alias("a"), "fragment", F.col("tokens").alias("ta"))
-    right = pieces.select(F.col("node").alias("b"), "fragment", F.col("tokens").alias("tb"))
-    partial = pairs.join(left, "a").join(right, ["b", "fragment"]).select(
-        "a", "b", F.size(F.array_intersect("ta", "tb")).cast("long").alias("common")
+    side = lambda x: pieces.select(
+        F.col("node").alias(x), "fragment", F.col("n").alias(f"n{x}"), F.col("tokens").alias(f"t{x}")
     )
-    summed = partial.groupBy("a", "b").agg(F.sum("common").alias("common"))
-    na, nb = sizes.toDF("a", "na"), sizes.toDF("b", "nb")
-    return summed.join(na, "a").join(nb, "b").filter(
-        F.lit(100 + percent) * F.col("common") >= F.lit(percent) * (F.col("na") + F.col("nb"))
-    ).select("a", "b")
+    partial = pairs.join(side("a"), "a").join(side("b"), ["b", "fragment"])
+    common = F.sum(F.size(F.array_intersect("ta", "tb")))
+    summed = partial.groupBy("a", "b", (F.col("na") + F.col("nb")).alias("both")).agg(common.alias("common"))
+    return summed.filter(F.lit(100 + percent) * F.col("common") >= F.lit(percent) * F.col("both")).select("a", "b")
 
 
 def jaccard_components(
     docs: DataFrame, words: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text",
-    part: int = 5, limit: int = 1000, cuts: int = 8, block: int = 500,
+    part: int = 5, limit: int = 1000, cuts: int = 8, block: int = 500, width: int = 8,
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row: the smallest id reachable by links.
 
@@ -156,7 +190,7 @@ def jaccard_components(
     paired. Neighbours in the lists of first n-grams are compared first; then all candidate
     pairs that are not in one component yet, lists of more than ``block`` sets as blocks
     against blocks. No list, pair or n-gram is capped or dropped: ``part``, ``limit``,
-    ``cuts`` and ``block`` only decide how much is compared where.
+    ``cuts``, ``block`` and ``width`` only decide how much is compared where.
 
     Words are runs of bytes other than blanks, A-Z lower-cased. A text with fewer words than
     ``words`` is one n-gram; null, empty and blank texts have none, are linked with nothing
@@ -170,70 +204,64 @@ def jaccard_components(
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     signed = stored(texts.mapInArrow(_signed(words), "doc_id long, n long, node long"), "sized")
     known = signed.filter("n > 0 and doc_id is not null")
-    nodes = stored(known.groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n")), "sets")
     # n-grams that a set may leave out of a link; the places among which two linked sets share one
     spare = F.expr(f"n - cast(ceil({percent} * n / 100) as long)")
 
     # first fragment: partial counts of lonely n-grams, each of which names its set
     heads = texts.filter("doc_id is not null").mapInArrow(_posts(words, part, False), "token long, node long")
     alone = heads.groupBy("token").agg(F.min("node").alias("node"), F.max("node").alias("other")).filter("node = other")
-    lonely = alone.groupBy("node").agg(F.count("*").alias("lonely"))
-    kept = stored(
-        nodes.join(lonely, "node", "left").filter(F.coalesce("lonely", F.lit(0)) <= spare).select("node", "rep", "n"), "kept"
+    counted = known.select("node", "doc_id", "n", F.lit(0).alias("lonely")).unionAll(
+        alone.select("node", F.lit(None).cast("long"), F.lit(None).cast("long"), F.lit(1))
+    )
+    kept = (
+        counted.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.sum("lonely").alias("lonely"))
+        .filter(F.col("lonely") <= spare).select("node", "doc_id")
     )
 
     # all n-grams of the sets that are left, those of several sets with their place in the order
-    asked = texts.join(kept.select("node", F.col("rep").alias("doc_id")).hint("merge"), "doc_id").select("node", "text")
-    posts = asked.mapInArrow(_posts(words, 1, True), "token long, node long")
+    asked = texts.join(kept.hint("merge"), "doc_id").select("node", "text")
+    posts = asked.mapInArrow(_posts(words, 1, True), "token long, node long, n long")
     order = posts.repartition("token").sortWithinPartitions("token")
-    live = stored(order.mapInArrow(_shared(limit), "node long, place double, token long"), "shared")
-    gram = F.struct("place", "token")
-    ordered = live.groupBy("node").agg(F.array_sort(F.collect_list(gram)).alias("grams")).join(kept, "node").withColumn(
-        "lonely", F.col("n") - F.size("grams")
-    ).filter(F.col("lonely") <= spare)
+    live = order.mapInArrow(_shared(limit), "node long, n long, place double, token long")
+    grams = F.array_sort(F.collect_list(F.struct("place", "token"))).alias("grams")
+    ordered = live.groupBy("node").agg(F.first("n").alias("n"), grams, *_parities())
+    ordered = stored(
+        ordered.withColumn("lonely", F.col("n") - F.size("grams")).filter(F.col("lonely") <= spare), "ordered"
+    )
     first = F.slice("grams", F.lit(1), (spare + 1 - F.col("lonely")).cast("int"))
-    firsts = stored(
-        ordered.select("node", "n", "lonely", F.posexplode(first).alias("at", "gram"), first.alias("all")).select(
-            F.col("gram.token").alias("token"), "node", "n", (F.col("lonely") + F.col("at")).alias("pos"),
-            F.coalesce(F.get("all.token", F.col("at") + 1), F.lit(0)).alias("next"),
-        ),
-        "firsts",
+    firsts = ordered.select("node", "n", "lonely", *PARITY, F.posexplode(first).alias("at", "gram"), first.alias("all")).select(
+        F.col("gram.token").alias("token"), "node", "n", "lonely", (F.col("lonely") + F.col("at")).alias("pos"), *PARITY,
+        F.coalesce(F.get("all.token", F.col("at") + 1), F.lit(0)).alias("next"),
     )
-    pivots = live.approxQuantile("place", [i / cuts for i in range(1, cuts)], 0.01)
-    fragment = sum((F.when(F.col("place") >= p, 1).otherwise(0) for p in pivots), F.lit(0))
-    pieces = stored(
-        live.join(firsts.select("node").distinct().hint("merge"), "node", "left_semi")
-        .groupBy("node", fragment.alias("fragment")).agg(F.collect_list("token").alias("tokens")),
-        "pieces",
+    pivots = ordered.select(F.explode("grams.place").alias("place")).approxQuantile("place", [i / cuts for i in range(1, cuts)], 0.01)
+    ends = [float("-inf"), *sorted(set(pivots)), float("inf")]
+    bounds = F.array(*(F.struct(F.lit(lo).alias("lo"), F.lit(hi).alias("hi")) for lo, hi in zip(ends, ends[1:])))
+    pieces = ordered.select("node", "n", "grams", F.posexplode(bounds).alias("fragment", "cut")).select(
+        "node", "n", "fragment", F.expr("filter(grams, g -> g.place >= cut.lo and g.place < cut.hi).token").alias("tokens")
     )
-    release(live)
-    sizes = kept.select("node", "n")
-    # a pair has no n-gram in common before its first common one
-    fits = f"{100 + percent} * least(na - pa, nb - pb) >= {percent} * (na + nb)"
     by = ["token", "next", "n", "pos", "node"]
     near = (
-        firsts.repartitionByRange(partitions, *by).sortWithinPartitions(*by).select("token", "n", "pos", "node")
-        .mapInArrow(_adjacent(), "a long, b long, na long, nb long, pa long, pb long").filter(fits)
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
+        firsts.repartitionByRange(partitions, *by).sortWithinPartitions(*by).select("token", "n", "pos", "lonely", "node", *PARITY)
+        .mapInArrow(_adjacent(percent, width), "a long, b long").distinct()
     )
-    links = stored(linked(near, pieces, sizes, percent), "links")
+    links = stored(linked(near, pieces, percent), "links")
     roots = components(links)
-    rest = stored(_apart(firsts, roots, fits, block), "rest")
+    rest = stored(_apart(firsts, roots, percent, block), "rest")
     if not rest.isEmpty():
-        more = stored(linked(rest, pieces, sizes, percent), "links")
+        more = stored(linked(rest, pieces, percent), "links")
         old, roots = roots, components(links.unionAll(more))
         release(old, more)
-    release(links, rest, firsts, pieces, kept)
-    joined = nodes.join(roots, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root"))
-    least = joined.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = joined.join(least, "root").select("node", "component_id")
-    return signed.join(named, "node", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))).alias("component_id"),
+    release(links, rest, ordered)
+    named = signed.join(roots, "node", "left").withColumn("root", F.when(
+        (F.col("n") > 0) & F.col("doc_id").isNotNull(), F.coalesce("root", "node")
+    ))
+    least = named.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
+    return named.join(least, "root", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id")
     )
 
 
-def _apart(firsts: DataFrame, roots: DataFrame, fits: str, block: int) -> DataFrame:
+def _apart(firsts: DataFrame, roots: DataFrame, percent: int, block: int) -> DataFrame:
     """All pairs ``a, b`` of different components that share one of their first n-grams and can reach the threshold."""
     posts = firsts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = posts.groupBy("token").agg(
@@ -241,10 +269,13 @@ def _apart(firsts: DataFrame, roots: DataFrame, fits: str, block: int) -> DataFr
     ).filter("one <> other").select("token", "cuts")
     dealt = posts.join(mixed, "token").withColumn("own", F.expr("cast(pmod(xxhash64(node), cuts) as int)"))
     every = F.explode(F.expr("sequence(0, cuts - 1)"))
-    cols = ["token", "node", "root", "n", "pos"]
-    left = dealt.select(*cols, F.col("own").alias("i"), every.alias("j")).toDF("token", "a", "ra", "na", "pa", "i", "j")
-    right = dealt.select(*cols, every.alias("i"), F.col("own").alias("j")).toDF("token", "b", "rb", "nb", "pb", "i", "j")
-    return left.join(right, ["token", "i", "j"]).filter("a < b and ra <> rb").filter(fits).select("a", "b").distinct()
+    side = lambda x, own, other: dealt.select(
+        "token", F.col("own").alias(own), every.alias(other), F.col("node").alias(x), F.col("root").alias(f"r{x}"),
+        F.col("n").alias(f"n{x}"), F.col("pos").alias(f"p{x}"), F.col("lonely").alias(f"l{x}"),
+        *(F.col(p).alias(f"{x}{p}") for p in PARITY),
+    )
+    pairs = side("a", "i", "j").join(side("b", "j", "i"), ["token", "i", "j"])
+    return pairs.filter("a < b and ra <> rb").filter(_may_link(percent)).select("a", "b").distinct()
 
 
 ORACLE = r"""

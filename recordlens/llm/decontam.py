@@ -170,7 +170,8 @@ WITH texts AS (
 ), item_runs AS (
   SELECT item_id, n, pos, w[pos + 1 : pos + 5] AS s FROM (SELECT item_id, n, w, unnest(range(greatest(n - 4, 1))) AS pos FROM items)
 ), windows AS (
-  SELECT DISTINCT d.doc_id, d.pos - i.pos AS start, i.n FROM doc_runs d JOIN item_runs i USING (s)
+  SELECT DISTINCT doc_id, unnest(range(pos - greatest(n - 4, 1) + 1, pos + 1)) AS start, n
+  FROM (SELECT DISTINCT d.doc_id, d.pos, i.n FROM doc_runs d JOIN item_runs i USING (s))
 ), window_counts AS (
   SELECT v.doc_id, v.start, v.n, d.s, count(*) AS c FROM windows v JOIN doc_runs d
     ON d.doc_id = v.doc_id AND d.pos >= v.start AND d.pos <= greatest(v.start + v.n - 5, 0) GROUP BY ALL

@@ -40,7 +40,7 @@ def shingle_sets(texts: list[bytes], words: int) -> list[np.ndarray]:
     word = _mix((sums[high] - sums[low]) * down[low] + (high - low).astype(np.uint64))
     bounds = np.concatenate([[0], np.searchsorted(low, ends_at)])
     run = word.copy()
-    for j in range(1, words):
+    for j in range(1, min(words, len(word))):
         run[: len(word) - j] = _mix(run[: len(word) - j] * np.uint64(0x9E3779B97F4A7C15) + word[j:])
     out = []
     for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):

@@ -11,6 +11,7 @@ runs), from which the lengths of matches are streamed along the windows.
 from __future__ import annotations
 
 import hashlib
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -358,10 +359,45 @@ def repeats(
     of one id apart. A range may repeat; rows with equal id and text share their ranges.
     """
     reach_package(docs.sparkSession)
-    texts = docs.select(
+    return _repeats(_texts(docs, id_col, text_col), length, k, most, block)
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.hash(text_col).alias("mark"),
         F.coalesce(text_col, F.lit("")).alias("text"),
     )
+
+
+def _word_names(batches):
+    """Texts as a string of eight bytes for each word."""
+    for batch in batches:
+        names = [
+            b"".join([xxhash.xxh3_64_digest(w) for w in bytes(cell.as_buffer()).split()]) for cell in batch.column(2)
+        ]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(names, pa.binary())], names=["doc_id", "mark", "text"]
+        )
+
+
+def repeated_words(
+    docs: DataFrame, words: int, k: int = 32, most: int = 4000, block: int = 1_000_000,
+    id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """``doc_id, mark, low, high``: runs of words covered by ``words`` successive words that start elsewhere too.
+
+    As ``repeats``, over the names of the words (hashes of eight bytes) in place of the
+    bytes; ``low`` and ``high`` count words. What stands between words does not matter.
+    """
+    reach_package(docs.sparkSession)
+    names = _texts(docs, id_col, text_col).mapInArrow(_word_names, "doc_id long, mark int, text binary")
+    found = _repeats(names, 8 * words, k, most, block)
+    # a byte of the next word may be equal by chance: only whole names count
+    whole = found.select("doc_id", "mark", F.expr("cast(ceil(low / 8) as long)").alias("low"), F.expr("high div 8").alias("high"))
+    return whole.filter(F.col("high") - F.col("low") >= words)
+
+
+def _repeats(texts: DataFrame, length: int, k: int, most: int, block: int) -> DataFrame:
     schema = "key long, h long, doc_id long, mark int, start long, count int, twice boolean"
     found = stored(texts.filter(F.octet_length("text") >= length).mapInArrow(_extract(length, k), schema), "windows")
     keys = found.groupBy("key").agg(
@@ -403,16 +439,28 @@ def _merge(spans) -> list[list[int]]:
     return out
 
 
-def with_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """All rows and columns of ``docs`` in a struct ``row``, with ``ranges`` to remove (null: none)."""
-    found = repeats(docs, id_col=id_col, text_col=text_col, **how).groupBy("doc_id", "mark").agg(
-        F.collect_set(F.struct("low", "high")).alias("ranges")
-    ).toDF("own_id", "own_mark", "ranges")
+def with_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int | None = None, **how) -> DataFrame:
+    """All rows and columns of ``docs`` in a struct ``row``, with ``ranges`` to remove (null: none).
+
+    With ``words`` there are ``word_ranges``, too: runs of words as of ``repeated_words``.
+    """
+    span = F.struct("low", "high")
+    found = repeats(docs, id_col=id_col, text_col=text_col, **how).select("doc_id", "mark", span.alias("r"))
+    lists = [F.collect_set("r").alias("ranges")]
+    if words is not None:
+        more = repeated_words(docs, words, id_col=id_col, text_col=text_col).select("doc_id", "mark", span.alias("w"))
+        found = found.withColumn("w", F.lit(None).cast(more.schema["w"].dataType)).unionByName(
+            more.withColumn("r", F.lit(None).cast(found.schema["r"].dataType))
+        )
+        lists.append(F.collect_set("w").alias("word_ranges"))
+    found = found.groupBy("doc_id", "mark").agg(*lists)
+    names = found.columns[2:]
+    found = found.toDF("own_id", "own_mark", *names)
     rows = docs.select(F.struct(*docs.columns).alias("row"))
     same = F.col(f"row.{id_col}").cast("long").eqNullSafe(F.col("own_id")) & (
         F.hash(F.col(f"row.{text_col}")) == F.col("own_mark")
     )
-    return rows.join(found, same, "left").select("row", "ranges")
+    return rows.join(found, same, "left").select("row", *names)
 
 
 def digests(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -446,21 +494,16 @@ def digests(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col
     return rows.select(*cells).mapInArrow(run, schema)
 
 
-def _passages(raw: bytes, spans, length: int, least: int, words: int) -> list[list[int]]:
-    """Runs of repeated strings of ``least`` bytes that have ``length`` bytes or more than ``words`` whole words."""
-    runs: list[list[int]] = []
-    for low, high in sorted((s["low"], s["high"]) for s in spans):
-        if runs and low <= runs[-1][1] - least + 1:  # strings start at every byte from one to the other
-            runs[-1][1] = max(runs[-1][1], high)
-        else:
-            runs.append([low, high])
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
-    def whole(low, high):
-        part = raw[low:high].split()
-        cut = (low > 0 and raw[low - 1 : low + 1].strip() == raw[low - 1 : low + 1]) + (high < len(raw) and raw[high - 1 : high + 1].strip() == raw[high - 1 : high + 1])
-        return len(part) - cut
 
-    return _merge([{"low": a, "high": b} for a, b in runs if b - a >= length or whole(a, b) > words])
+def _passages(raw: bytes, spans) -> list[dict]:
+    """Byte ranges of runs of words, with the blanks beside them."""
+    at = [m.span() for m in _WORD.finditer(raw)]
+    return [
+        {"low": at[low - 1][1] if low else 0, "high": at[high][0] if high < len(at) else len(raw)}
+        for low, high in _merge(spans)
+    ]
 
 
 def remove(
@@ -468,29 +511,31 @@ def remove(
 ) -> DataFrame:
     """``docs`` with long repeats cut out of the text and ``n_chars`` set anew; the same rows and columns.
 
-    A character of which a byte is removed goes as a whole. With ``words``, repeated
-    passages of more than so many words go as well, whatever their bytes: strings are
-    looked for from the fewest bytes that such a passage can have.
+    A character of which a byte is removed goes as a whole. With ``words``, a word goes as
+    well if any string of so many whole words over it also starts anywhere else, whatever
+    stands between the words, and with it the blanks beside the run of removed words.
     """
-    least = length if words is None else min(length, 2 * words + 1)
 
     @F.pandas_udf("string")
-    def cut(texts, ranges):
+    def cut(texts, ranges, word_ranges):
         import pandas as pd
 
         out = []
-        for text, spans in zip(texts, ranges):
+        for text, spans, more in zip(texts, ranges, word_ranges):
             if spans is None or text is None:
                 out.append(text)
                 continue
             raw, at, parts = text.encode(), 0, []
-            for low, high in _merge(list(spans)) if words is None else _passages(raw, list(spans), length, least, words):
+            for low, high in _merge([*spans, *(_passages(raw, list(more)) if more is not None and len(more) else [])]):
                 parts.append(raw[at:low].decode(errors="ignore"))
                 at = high
             out.append("".join([*parts, raw[at:].decode(errors="ignore")]))
         return pd.Series(out, dtype=object)
 
-    rows = with_ranges(docs, text_col=text_col, length=least).withColumn("kept", cut(f"row.{text_col}", "ranges"))
+    rows = with_ranges(docs, text_col=text_col, length=length, words=words)
+    if words is None:
+        rows = rows.withColumn("word_ranges", F.slice("ranges", 1, 0))
+    rows = rows.withColumn("kept", cut(f"row.{text_col}", "ranges", "word_ranges"))
     new = {text_col: F.col("kept")}
     if size_col in docs.columns:
         kind = docs.schema[size_col].dataType

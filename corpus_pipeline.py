@@ -22,23 +22,24 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, similarity 0.8): the smallest id.
 
-    Rows without an id stay. Rows that share an id are one document: one of them stays.
+    Rows without an id stay. Rows that share an id stay if one of them does, one for each text.
     """
     found = near_dedup.near_duplicates(docs)
     kept = found.filter("kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionAll(docs.filter("doc_id is null"))
+    named = docs.join(kept, "doc_id", "left_semi").withColumn("_mark", F.xxhash64("text"))
+    return named.dropDuplicates(["doc_id", "_mark"]).drop("_mark").unionAll(docs.filter("doc_id is null"))
 
 
 def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the strings of 400 bytes and the passages of over 50 words that stand more than once."""
-    return suffix_dedup.remove(docs, words=50)
+    """All documents, without the strings of 400 bytes and the passages of over 50 words that start more than once."""
+    return suffix_dedup.remove(docs, words=51)
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
-    leaks = decontam.passages(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(leaks, "doc_id", "left_anti")
+    """Documents without a passage of the benchmark; rows are told apart by id and text."""
+    marked = docs.withColumn("_mark", F.xxhash64("doc_id", "text"))
+    leaks = decontam.passages(marked, table(spark, sf_dir, "benchmark"), id_col="_mark")
+    return marked.join(leaks.select(F.col("doc_id").alias("_mark")).distinct(), "_mark", "left_anti").drop("_mark")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from recordlens.functions import text as T  # noqa: E402
-from recordlens.plans import audit, customers, emails, records, weekly  # noqa: E402
+from recordlens.operators import sinks  # noqa: E402
+from recordlens.plans import audit, customers, emails, records, runs, weekly  # noqa: E402
 from recordlens.session import work_dir  # noqa: E402
+from recordlens.sources import files  # noqa: E402
 from recordlens.sources import fixtures as fx  # noqa: E402
-from recordlens.streaming.daily import Tables, run_daily  # noqa: E402
+from recordlens.streaming.daily import Tables, run_daily, run_daily_files  # noqa: E402
 
 try:  # the training-data operators are an optional part
     import corpus_pipeline
@@ -121,12 +123,66 @@ def _stream(i: Inputs) -> DataFrame:
         .selectExpr(*exprs)
     )
     run_daily(source, tables, i.catalog, i.contact, i.people)
-    table = lambda n: i.spark.read.parquet(tables.path(n))
-    rows = table("rows").groupBy("run_date").agg(F.count("*").alias("rows_loaded"))
-    monitored = customers.daily_readback(table("monitoring"))
+    return _loaded(i, tables)
+
+
+def _loaded(i: Inputs, tables: Tables) -> DataFrame:
+    rows = tables.read(i.spark, "rows").groupBy("run_date").agg(F.count("*").alias("rows_loaded"))
+    monitored = customers.daily_readback(tables.read(i.spark, "monitoring"))
     return rows.join(monitored, "run_date")
 
 
+def _drop(i: Inputs, folder: str, days: str = "true") -> str:
+    """Daily CSV files of the exports, of the days that a condition names."""
+    master = i.subscription_file.filter(days).select(*files.EXPORT_HEADS)
+    sinks.split_by_day(master, folder, int(AS_OF[:4]), rows_per_file=20_000)
+    return folder
+
+
+def _file_rows(i: Inputs) -> DataFrame:
+    """Exports split by day into CSV files, read back and cleaned."""
+    read = files.read_exports(i.spark, _drop(i, work_dir(i.spark, "drop")), int(AS_OF[:4]))
+    return customers.ingest(read, keep=("source_file",)).drop("sales_team_size")
+
+
+def _file_stream(i: Inputs) -> DataFrame:
+    """CSV files dropped in two rounds, the first day in both, and drained after each."""
+    root, tables = work_dir(i.spark, "drop"), Tables(work_dir(i.spark, "stream"))
+    for folder, days in (("one", "day(run_date) <= 15"), ("two", "day(run_date) > 15 or day(run_date) = 1")):
+        _drop(i, f"{root}/{folder}", days)
+        lines = files.stream_exports(i.spark, root)
+        run_daily_files(lines, tables, i.catalog, i.contact, i.people, int(AS_OF[:4]))
+    return _loaded(i, tables)
+
+
+def _input_files(i: Inputs) -> str:
+    """Company inputs as one CSV file per source file, in order of their rows."""
+    root = work_dir(i.spark, "inputs")
+    rows = i.company_input.select(
+        "source_file", "row_no", F.col("source").alias("Provider"), F.col("company").alias("COMPANY NAME"),
+        F.col("profile_link").alias("Person LinkedIn"),
+    )
+    ordered = rows.repartition("source_file").sortWithinPartitions("source_file", "row_no").drop("row_no")
+    ordered.write.option("header", "true").option("escape", '"').partitionBy("source_file").csv(root)
+    return root
+
+
+def _file_marks(i: Inputs) -> DataFrame:
+    marked = records.mark_duplicates(files.read_inputs(i.spark, [_input_files(i)], "*.csv"), "company")
+    return marked.select("row_no", "company", "source", "slug", "status")
+
+
+def _record_run(i: Inputs) -> DataFrame:
+    """Two runs over the same input files; landed rows and, beside them, the payload records of both."""
+    inputs, root = _input_files(i), work_dir(i.spark, "records")
+    for _ in range(2):
+        runs.record_run(i.spark, [inputs], i.payload, root, "F26.04.24", "2026-04-24", "company")
+    added = sinks.table(i.spark, root, "payloads").select("row_no", "handle", "status_code")
+    return runs.landed(i.spark, root).join(added, "row_no", "left").select(
+        "run_id", "row_no", "company", "slug", "payload_status", "payload_raw", "handle", "status_code"
+    )
+
+
 _JOBS: dict[str, Callable[[Inputs], DataFrame]] = {
     # daily customer audit
     "cta_ingest": lambda i: customers.ingest(i.subscription, keep=("row_no",)),
@@ -235,8 +291,12 @@ _JOBS: dict[str, Callable[[Inputs], DataFrame]] = {
     "email_dedupe_shared": lambda i: emails.dedupe_shared(i.company, i.email),
     "email_suppress": lambda i: emails.suppress(i.email, i.deliverability),
     "email_verifier_queue": lambda i: emails.verifier_queue(i.email),
-    # file stream
+    # files and streams of files
     "stream_daily_ingest": _stream,
+    "stream_file_drop": _file_stream,
+    "files_export_rows": _file_rows,
+    "files_input_marks": _file_marks,
+    "records_run": _record_run,
 }
 
 

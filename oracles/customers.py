@@ -5,6 +5,7 @@ from __future__ import annotations
 from oracles.parts import mean_pct, pct, query, words
 from recordlens import constants as K
 from recordlens.plans.customers import FIELDS, GROUPS, NUMERIC_FIELDS
+from recordlens.sources.fixtures import view_sql
 
 
 def _number(column: str) -> str:
@@ -150,7 +151,14 @@ def queries() -> dict[str, str]:
                 'row ' || record_id)
             ORDER BY sub_created DESC NULLS FIRST, record_id DESC, sub_status DESC NULLS LAST,
                 seats DESC NULLS LAST) = 1""")
+    filed = lambda sql: sql.replace(*(f"f_subscription AS ({view_sql(v)})" for v in ("f_subscription", "f_subscription_file")))
+    streamed = stage("""
+            SELECT r.rows_loaded, d.* FROM (SELECT run_date AS day, count(*) AS rows_loaded FROM ingested GROUP BY 1) r
+            JOIN readback d ON d.run_date = r.day""", [MONITORED, ("readback", READBACK)])
     return {
+        "files_export_rows": filed(query("f_subscription", INGEST, """
+            SELECT * EXCLUDE (row_no, sales_team_size), strftime(run_date, '%m_%d_CTA.csv') AS source_file FROM ingested""")),
+        "stream_file_drop": filed(streamed),
         "cta_ingest": query("f_subscription", INGEST, "SELECT * FROM ingested"),
         "cta_append_new": query("f_subscription", INGEST, f"""
             SELECT run_date, record_id, customer_domain, sub_status FROM ingested i
@@ -186,7 +194,5 @@ def queries() -> dict[str, str]:
                 FROM by_month UNPIVOT INCLUDE NULLS (coverage_pct FOR name IN (
                     {', '.join(f'{f}_coverage_pct' for f in FIELDS)})))""",
             [("by_month", _BY_MONTH)]),
-        "stream_daily_ingest": stage("""
-            SELECT r.rows_loaded, d.* FROM (SELECT run_date AS day, count(*) AS rows_loaded FROM ingested GROUP BY 1) r
-            JOIN readback d ON d.run_date = r.day""", [MONITORED, ("readback", READBACK)]),
+        "stream_daily_ingest": streamed,
     }

@@ -21,7 +21,19 @@ LOOKED_UP = ("looked_up", """
 def queries() -> dict[str, str]:
     found = lambda body: query("f_company_input f_payload", [COMPANIES, LOOKED_UP], body)
     parsed = "CASE WHEN json_valid(raw) THEN raw END"
+    # rows numbered over the files; blanks around values do not come through a file
+    in_files = lambda body: query("f_company_input f_payload", [COMPANIES, LOOKED_UP], body).replace(
+        "FROM f_company_input)", """FROM (SELECT * REPLACE (row_number() OVER (ORDER BY source_file, row_no) AS row_no,
+            trim(profile_link) AS profile_link) FROM f_company_input))""")
     return {
+        "files_input_marks": in_files("SELECT row_no, company, source, slug, mark AS status FROM companies"),
+        "records_run": in_files("""
+            SELECT 'F26.04.24' AS run_id, l.row_no, company, l.slug, l.status AS payload_status, l.raw AS payload_raw,
+                a.handle, a.status_code
+            FROM looked_up l LEFT JOIN (
+                SELECT row_no, coalesce(nullif(slug, ''), profile_link) AS handle, CAST(status AS INTEGER) AS status_code
+                FROM looked_up WHERE status IN ('200', '404')
+                QUALIFY row_number() OVER (PARTITION BY handle ORDER BY row_no) = 1) a ON a.row_no = l.row_no"""),
         "records_mark_duplicates": query("f_person_input", [PERSONS],
             "SELECT row_no, source, country, slug, status FROM persons"),
         "records_mark_company_duplicates": query("f_company_input", [COMPANIES],

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from recordlens.session import work_dir
+
 
 def keep_top(df: DataFrame, keys: list, order: list[Column], n: int = 1) -> DataFrame:
     """At most n rows per key, the first in the given order.
@@ -76,3 +78,21 @@ def stack(keys: list[str], *frames: DataFrame) -> DataFrame:
         frame = frame.unionByName(other, allowMissingColumns=True)
     values = [c for c in frame.columns if c not in keys]
     return frame.groupBy(*keys).agg(*[F.max(c).alias(c) for c in values])
+
+
+def running_total(df: DataFrame, order: str, value: str, name: str) -> DataFrame:
+    """``order`` and, as ``name``, the sum of ``value`` over all rows before it; ``order`` is unique.
+
+    Rows are dealt out by ranges of ``order`` and written once, so that both passes see the
+    same ranges; sums of ranges (one row per task) are added up, then the rows of a range.
+    """
+    path = work_dir(df.sparkSession, "ranges")
+    ranged = df.select(order, value).repartitionByRange(order)
+    ranged.withColumn("_range", F.spark_partition_id()).write.parquet(path)
+    ranged = df.sparkSession.read.parquet(path)
+    sums = ranged.groupBy("_range").agg(F.sum(value).alias("_sum"))
+    sums = sums.select("_range", (F.sum("_sum").over(Window.orderBy("_range")) - F.col("_sum")).alias("_base"))
+    within = F.sum(value).over(Window.partitionBy("_range").orderBy(order)) - F.col(value)
+    return ranged.withColumn("_within", within).join(F.broadcast(sums), "_range").select(
+        order, (F.col("_base") + F.col("_within")).alias(name)
+    )

@@ -10,6 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from recordlens.constants import DAILY_FILE_SUFFIX
 from recordlens.schemas import TABLES
 
 
@@ -130,28 +131,41 @@ def split_by_day(
     master: DataFrame, path: str, year: int, loaded: DataFrame | None = None,
     rows_per_file: int = 1_000_000,
 ) -> None:
-    """Write a master export of one year as CSV per month and day of SUB_CREATED.
+    """Write a master export of one year as ``MM/MM_DD_CTA.csv`` by the day of SUB_CREATED.
 
-    Dates in ``loaded`` (a ``run_date`` column) are left out. A big day is cut
-    into files of ``rows_per_file`` rows by its writer and spread over salts.
+    Dates in ``loaded`` (a ``run_date`` column) are left out. Each daily file is a folder of
+    part files of up to ``rows_per_file`` rows: days are dealt out by their counts, so a day
+    that holds most rows has many writers. Days take their names (at most 366) once all are
+    written.
     """
+    spark = master.sparkSession
     day = F.substring("SUB_CREATED", 1, 10)
-    rows = master.withColumn("_date", day).filter(F.col("_date").startswith(str(year)))
+    rows = master.withColumn("_date", day).filter(F.col("_date").rlike(rf"^{year}-\d\d-\d\d$"))
     if loaded is not None:
         old = loaded.select(F.col("run_date").cast("string").alias("_date")).distinct()
         rows = rows.join(old, "_date", "left_anti")
+    parts = rows.groupBy("_date").agg(F.ceil(F.count("*") / rows_per_file).cast("int").alias("_parts"))
+    dealt = rows.join(F.broadcast(parts), "_date").withColumn(
+        "_salt", F.pmod(F.xxhash64(*master.columns), F.col("_parts"))
+    )
+    fresh = f"{path}/_writing"
     (
-        rows.withColumn("mm", F.split_part("_date", F.lit("-"), F.lit(2)))
-        .withColumn("day", F.concat_ws("_", "mm", F.split_part("_date", F.lit("-"), F.lit(3))))
-        .drop("_date")
-        .withColumn("_salt", F.pmod(F.xxhash64(*master.columns), F.lit(16)))
-        .repartition("day", "_salt")
-        .drop("_salt")
+        dealt.repartition("_date", "_salt").drop("_salt", "_parts")
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
         .option("header", "true")
         .option("escape", '"')
         .option("maxRecordsPerFile", rows_per_file)
-        .partitionBy("mm", "day")
-        .csv(path)
+        .partitionBy("_date")
+        .csv(fresh)
     )
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = hadoop(fresh).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    for status in files.listStatus(hadoop(fresh)):
+        name = status.getPath().getName()
+        if name.startswith("_date="):
+            _, mm, dd = name.removeprefix("_date=").split("-")
+            target = hadoop(f"{path}/{mm}/{mm}_{dd}{DAILY_FILE_SUFFIX}")
+            files.delete(target, True)
+            files.mkdirs(target.getParent())
+            files.rename(status.getPath(), target)
+    files.delete(hadoop(fresh), True)

@@ -6,13 +6,15 @@ tables take only keys they do not hold, rebuilt tables are overwritten.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordlens.operators import sinks
+from recordlens.operators.generations import Generations
 from recordlens.plans import audit, emails, records, weekly
 from recordlens.schemas import TABLES, conform
 from recordlens.session import configure
+from recordlens.sources.files import read_inputs
 
 
 def weekly_refresh(
@@ -82,9 +84,38 @@ def audit_run(
 
 
 def land_inputs(enriched: DataFrame, root: str, run_id: str, file_date: str) -> None:
-    """Input rows with their payloads, replacing earlier rows of the same files."""
-    configure(enriched.sparkSession)
+    """Input rows with their payloads, replacing earlier rows of the same files (``landed`` reads them).
+
+    The rows are computed once; the ledger gets the files, which never come to the driver.
+    """
+    spark = configure(enriched.sparkSession)
     rows = records.landing_rows(enriched, F.lit(run_id), F.lit(file_date).cast("date"))
     rows = conform(rows.withColumn("created_at", F.current_timestamp()), "landing")
-    files = [r.source_file for r in enriched.select("source_file").distinct().collect()]
-    sinks.replace_partitions(rows, f"{root}/landing", "source_file", files)
+    kept = Generations(spark, f"{root}/landing_runs", "source_file")
+    generation = kept.next()
+    written = kept.write("landing", rows, generation, by_key=False)
+    kept.commit(written.groupBy("source_file").agg(F.count("*").alias("rows_landed")), generation)
+
+
+def landed(spark: SparkSession, root: str) -> DataFrame:
+    """Landed rows, each file as its last run left it."""
+    return Generations(spark, f"{root}/landing_runs", "source_file").read("landing")
+
+
+def record_run(
+    spark: SparkSession, paths: list[str], payloads: DataFrame, root: str, run_id: str, file_date: str, kind: str,
+) -> int:
+    """One monitoring run over input files: load, mark repeats, attach payloads, upsert, land.
+
+    ``kind`` is person or company; ``payloads`` comes from ``files.read_payload_cache`` or a
+    table. Every step goes on from a stored table. The number of payload records added comes
+    back; a run over the same files adds none and replaces its landing rows.
+    """
+    configure(spark)
+    marked = sinks.stored(records.mark_duplicates(read_inputs(spark, paths), kind), f"{root}/current_{kind}_inputs")
+    looked_up = sinks.stored(records.attach_payloads(marked, payloads), f"{root}/current_{kind}_payloads")
+    known = sinks.read_or_none(spark, f"{root}/payloads")
+    new = records.upsert_rows(looked_up, known, kind.upper())
+    added = sinks.upsert_ignore(conform(new, "payloads"), f"{root}/payloads")
+    land_inputs(looked_up, root, run_id, file_date)
+    return added

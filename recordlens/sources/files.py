@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordlens import constants as K
-from recordlens.functions.text import strip
 from recordlens.plans.records import rename_inputs
+from recordlens.sources.csv_records import as_lines, read_lines, read_records
 
 _ISO_DATE = r"(\d{4})-(\d{2})-(\d{2})"
 _SHORT_DATE = r"_(\d{2})_(\d{2})_(\d{2})"
@@ -33,98 +31,82 @@ def input_file_date(name: Column) -> Column:
     return F.coalesce(iso, F.concat(F.lit("20"), year, F.lit("-"), month, F.lit("-"), day).try_cast("date"))
 
 
-def _file_groups(spark: SparkSession, paths: list[str], glob: str | None) -> list[tuple]:
-    """(charset, header, paths) of the files: one group per charset and header line.
+def read_csv_files(
+    spark: SparkSession, paths: list[str], glob: str | None = None, columns: list[str] | None = None
+) -> DataFrame:
+    """All rows of the files as trimmed text, with ``source_path`` and ``row_no``.
 
-    A file is UTF-8 when all its lines are, else Latin-1. Files are read as
-    plain lines in parallel; only their names and headers come to the driver.
+    Quoted fields may hold line breaks, files may differ in charset and header, and a
+    large file is read by many tasks; see ``csv_records.read_records``.
     """
-    reader = spark.read.option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    lines = reader.text(paths).select(
-        F.col("_metadata.file_path").alias("path"),
-        F.struct("_metadata.file_block_start", F.monotonically_increasing_id().alias("n")).alias("at"),
-        "value",
-    )
-    files = lines.groupBy("path").agg(
-        F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
-        F.min_by(F.hex(F.encode("value", "UTF-8")), "at").alias("header"),
-    )
-    groups = files.groupBy("utf8", "header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
-    return [(r.utf8, r.header, r.paths) for r in groups.orderBy("utf8", "header").collect()]
+    return read_records(read_lines(spark, paths, glob), columns)
 
 
-def read_csv_files(
-    spark: SparkSession, paths: list[str], glob: str | None = None, multi_line: bool = True
-) -> DataFrame:
-    """All rows of the files as trimmed text, with ``source_path`` and ``file_order``.
+def file_key(path: Column) -> Column:
+    """Name of the daily file in a path: the file itself, or the folder that a writer made of it."""
+    return F.url_decode(F.regexp_extract(path, rf"(?i)/([^/]+_CTA\.csv)(/[^/]+)?$", 1))
 
-    Files may differ in charset and in the order of their columns; columns meet
-    by name, and one that a file lacks is NULL. Quoted fields may hold line
-    breaks; without such fields ``multi_line=False`` lets Spark split big files.
-    """
-    parts = []
-    for utf8, _, group in _file_groups(spark, paths, glob):
-        raw = spark.read.csv(
-            group, header=True, multiLine=multi_line, escape='"',
-            encoding="UTF-8" if utf8 else "ISO-8859-1",
-        )
-        columns = [
-            strip(F.coalesce(F.col(f"`{c}`"), F.lit(""))).alias(c.replace("﻿", "").strip())
-            for c in raw.columns
-        ]
-        order = F.struct(
-            F.col("_metadata.file_path").alias("path"),
-            F.col("_metadata.file_block_start").alias("start"),
-            F.monotonically_increasing_id().alias("n"),
-        )
-        parts.append(raw.select(
-            F.col("_metadata.file_path").alias("source_path"), order.alias("file_order"), *columns
-        ))
-    if not parts:
-        raise FileNotFoundError(f"no files in {paths}")
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+def dated_exports(rows: DataFrame, year: int) -> DataFrame:
+    """Rows of daily files with ``source_file`` and the ``run_date`` of its name; files without a date are left out."""
+    named = rows.withColumn("source_file", file_key(F.col("source_path")))
+    named = named.withColumn("run_date", daily_file_date(F.col("source_file"), year))
+    return named.filter(F.col("run_date").isNotNull())
+
+
+def _filled(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({c: F.coalesce(F.col(c), F.lit("")) for c in EXPORT_HEADS})
+
+
+EXPORT_HEADS = [head for head, *_ in K.EXPORT_COLUMNS]
 
 
 def read_exports(
-    spark: SparkSession, root: str, year: int, month: str | None = None, day: str | None = None,
-    multi_line: bool = True,
+    spark: SparkSession, root: str, year: int, month: str | None = None, day: str | None = None
 ) -> DataFrame:
     """Daily exports under ``root``, all or those of a month ('06') or date ('2026-06-01').
 
-    The run date comes from the file name; files without one are left out.
+    The run date comes from the file name; files without one are left out. Columns that a
+    file lacks are empty, other columns are not read.
     """
-    path, glob = root, f"*{K.DAILY_FILE_SUFFIX}"
+    path, name = root, ""
     if day:
         _, mm, dd = day.split("-")
-        path, glob = f"{root}/{mm}", f"{mm}_{dd}{K.DAILY_FILE_SUFFIX}"
+        path, name = f"{root}/{mm}", f"{mm}_{dd}"
     elif month:
         path = f"{root}/{month}"
-    rows = read_csv_files(spark, [path], glob, multi_line)
-    date = daily_file_date(file_name(F.col("source_path")), year)
-    dated = rows.withColumn("run_date", date).filter(F.col("run_date").isNotNull())
-    heads = [c for c, *_ in K.EXPORT_COLUMNS if c not in dated.columns]
-    return dated.withColumns({c: F.lit("") for c in heads}) if heads else dated
+    daily = lambda p: file_key(p).endswith(name + K.DAILY_FILE_SUFFIX)
+    return dated_exports(_filled(read_records(read_lines(spark, [path], only=daily), EXPORT_HEADS)), year)
 
 
 def read_split_exports(spark: SparkSession, root: str, year: int) -> DataFrame:
-    """Exports written by ``sinks.split_by_day``."""
-    rows = spark.read.csv(root, header=True, multiLine=True, escape='"')
-    date = F.concat_ws("-", F.lit(str(year)), F.regexp_replace("day", "_", "-")).try_cast("date")
-    return rows.withColumn("run_date", date).drop("mm", "day")
+    """Exports written by ``sinks.split_by_day``, with all their columns."""
+    return dated_exports(read_csv_files(spark, [root]), year)
+
+
+def stream_exports(spark: SparkSession, root: str) -> DataFrame:
+    """Lines of the daily files dropped under ``root``, as a stream; ``exports_of_batch`` makes rows of them."""
+    text = spark.readStream.option("recursiveFileLookup", "true").text(root)
+    return text.select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value"
+    )
+
+
+def exports_of_batch(batch: DataFrame, year: int) -> DataFrame:
+    """Rows of a micro-batch of ``stream_exports``. A micro-batch has whole files."""
+    named = as_lines(batch).filter(file_key(F.col("path")).endswith(K.DAILY_FILE_SUFFIX))
+    return dated_exports(_filled(read_records(named, EXPORT_HEADS, required=False)), year)
 
 
-def read_inputs(spark: SparkSession, paths: list[str]) -> DataFrame:
+def read_inputs(spark: SparkSession, paths: list[str], glob: str | None = None) -> DataFrame:
     """People or company input files under the names used here, with file date.
 
-    ``file_order`` (path, block, line) is unique and orders the rows of all files, also
-    of files that differ in charset or header; ``row_no`` is a number made from it.
+    ``row_no`` numbers the rows 1, 2, ... over all files, by path and line, whatever their
+    charsets and headers.
     """
-    rows = rename_inputs(read_csv_files(spark, paths))
+    rows = rename_inputs(read_csv_files(spark, paths, glob))
     name = file_name(F.col("source_path"))
-    number = F.xxhash64("file_order.path", "file_order.start", "file_order.n")
-    return rows.withColumns({"source_file": name, "file_date": input_file_date(name), "row_no": number})
+    return rows.withColumns({"source_file": name, "file_date": input_file_date(name)})
 
 
 def read_payload_cache(spark: SparkSession, root: str) -> DataFrame:

@@ -98,6 +98,6 @@ def test_landing_replaces_files(spark, sf_dir, tmp_path):
     rows = records.attach_payloads(marked, fx.view(spark, sf_dir, "f_payload"))
     for _ in range(2):
         runs.land_inputs(rows, str(tmp_path), "F26.04.24", "2026-04-24")
-    stored = table(spark, str(tmp_path), "landing")
+    stored = runs.landed(spark, str(tmp_path))
     assert stored.count() == rows.count()
     assert stored.filter("payload_status <> '200' AND payload_raw IS NOT NULL").count() == 0

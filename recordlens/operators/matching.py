@@ -18,6 +18,7 @@ from recordlens.operators.rows import keep_top, replicated, salted
 
 GRAM = 8
 SALTS = 8
+BUCKETS = 1 << 16  # of the sketch of piece counts: a bound of what is broadcast
 
 
 def usable_catalog(catalog: DataFrame, require_profile: bool = False) -> DataFrame:
@@ -60,11 +61,14 @@ def _website_hits(domains: DataFrame, catalog: DataFrame) -> DataFrame:
         parts.withColumn("size", F.explode(sizes))
         .select("id", "part", F.explode(_grams(F.col("part"), F.col("size"))).alias("gram"))
     )
-    # only pieces that some domain has can matter: the rest of the websites goes here, once
-    pieces = pieces.join(keyed.select("gram").distinct(), "gram", "left_semi")
-    seen = pieces.groupBy("gram").agg(F.count("*").alias("seen"))
+    # How often a piece occurs is only a guide to the rarest piece of a domain, so counts per
+    # bucket of hashes do (BUCKETS rows at most, folded in the scan). Any choice is exact:
+    # a website with the domain has all its pieces.
+    bucket = F.pmod(F.xxhash64("gram"), F.lit(BUCKETS)).cast("int").alias("bucket")
+    seen = pieces.groupBy(bucket).agg(F.count("*").alias("seen"))
     rarest = (
-        keyed.join(seen, "gram")
+        keyed.select("domain", "gram", bucket)
+        .join(F.broadcast(seen), "bucket")
         .groupBy("domain")
         .agg(F.min(F.struct("seen", "gram")).alias("pick"))
         .select("domain", F.col("pick.gram").alias("gram"))

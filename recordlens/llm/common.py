@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +26,14 @@ def reach_package(spark: SparkSession) -> None:
         given["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
+def give_back() -> None:
+    """Returns freed memory of a Python worker to the system; workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     reach_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -10,8 +10,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordlens.llm.common import reach_package
-from recordlens.llm.transducer import in_blocks, transducer
+from recordlens.llm.common import give_back, reach_package
+from recordlens.llm.transducer import forget, in_blocks, learned, transducer
 
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -71,6 +71,7 @@ def pack(
     group_tokens: int = 1 << 21,
     id_col: str = "doc_id",
     text_col: str = "text",
+    keep: bool = True,
 ) -> DataFrame:
     """One row per piece of a document in a sequence of at most ``capacity`` tokens.
 
@@ -80,6 +81,10 @@ def pack(
     of two. A sequence's cost is the sum over its pieces of
     ``linear * n + quadratic * n ** 2`` (attention within a document only).
 
+    Ids come from the compiled tokenizer, whose transitions the tokenizers library
+    computes. With ``keep`` a worker holds it for later tasks; without, each task begins
+    with what was learned once from a bounded sample of texts, and drops the rest.
+
     A null or empty text is the end id alone; a null id stays null; repeated rows
     are packed one by one; an empty table gives no rows; other columns are ignored.
     """
@@ -87,22 +92,23 @@ def pack(
     if capacity & (capacity - 1):
         raise ValueError("capacity must be a power of two")
     end = np.array([end_id], "<u4").tobytes()
+    start = None if keep else learned(docs, tokenizer, text_col)
 
     def rows(group, base):
         pieces, sizes, costs = assign([len(b) // 4 for _, b in group], capacity, linear, quadratic)
-        d, start, n, seq, offset = (np.array(x, np.int64) for x in zip(*pieces))
-        crc = [zlib.crc32(group[i][1][4 * a : 4 * (a + k)]) for i, a, k in zip(d, start, n)]
+        d, low, n, seq, offset = (np.array(x, np.int64) for x in zip(*pieces))
+        crc = [zlib.crc32(group[i][1][4 * a : 4 * (a + k)]) for i, a, k in zip(d, low, n)]
         ids = [group[i][0] for i in d]
         whole = np.array([len(group[i][1]) // 4 for i in d], np.int64)
         out = [
-            pa.array(ids, pa.int64()), start, n, np.array(crc, np.int64), whole, base + seq, offset,
+            pa.array(ids, pa.int64()), low, n, np.array(crc, np.int64), whole, base + seq, offset,
             np.array(sizes, np.int64)[seq], np.array(costs)[seq],
         ]
         names = [c.split()[0] for c in SCHEMA.split(", ")]
         return pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=names), len(sizes)
 
     def run(batches):
-        enc = transducer(tokenizer)
+        enc = transducer(tokenizer, start)
         base = TaskContext.get().partitionId() << 40
         group, tokens = [], 0
         for block in in_blocks(batches):
@@ -115,5 +121,8 @@ def pack(
                     base, group, tokens = base + used, [], 0
         if group:
             yield rows(group, base)[0]
+        if not keep:
+            forget(tokenizer)
+            give_back()
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, SCHEMA)

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordlens.llm.common import reach_package, release, stored
+from recordlens.llm.common import give_back, reach_package, release, stored
 
 _ODD = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_ODD, -1, 1 << 64)
@@ -210,6 +210,7 @@ def _extract(length: int, k: int):
                     ],
                     names=["key", "h", "doc_id", "mark", "start", "count", "twice"],
                 )
+        give_back()
 
     return run
 
@@ -240,6 +241,8 @@ def _mark(length: int, block: int):
                 size += len(r[3])
         if rows:
             yield spans(rows)
+            rows.clear()
+        give_back()
 
     return run
 
@@ -530,6 +533,7 @@ def remove(
                 parts.append(raw[at:low].decode(errors="ignore"))
                 at = high
             out.append("".join([*parts, raw[at:].decode(errors="ignore")]))
+        give_back()
         return pd.Series(out, dtype=object)
 
     rows = with_ranges(docs, text_col=text_col, length=length, words=words)

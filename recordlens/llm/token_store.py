@@ -174,7 +174,8 @@ def write(
 
     Shards are ranges of ``doc_id``; a file holds blocks of whole documents with at
     least ``block_ids`` token ids (the last may be smaller), each a wavelet matrix
-    with the documents' ids and token counts. Files are Parquet, so any store that
+    with the documents' ids and token counts. Ids come from the compiled tokenizer, whose
+    transitions the tokenizers library computes. Files are Parquet, so any store that
     Spark writes will do. The text is shuffled once; memory holds a block.
 
     A null or empty text is the end id alone. Null ids come first; equal ids keep

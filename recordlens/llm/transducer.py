@@ -94,6 +94,7 @@ class Transducer:
         self.follows: dict[tuple[int, bytes], bool] = {}
         self.max_states, self.max_symbols = max_states, max_symbols
         self.classes: dict[str, str] = {}
+        self.base: dict | None = None
         self._reset()
 
     # ---- compilation
@@ -103,8 +104,12 @@ class Transducer:
         self.symbol = np.full(0x110000, _RARE, np.int16)
         self.chars = [""]
         self.columns = 64
+        self.frozen = 0  # states that come from ``base``
         self.states: list[_State] = []
         self.known: dict[bytes, int] = {}
+        if self.base is not None:
+            self._load(self.base)
+            return
         # next state << 8 | (change of the count + 64); -1: not known
         self.table = np.full((1024, self.columns), -1, np.int32)
         self.tops = np.full((1024, 5), -1, np.int32)
@@ -114,6 +119,56 @@ class Transducer:
         start.lone, start.blanks = False, 0
         self._number(start)
 
+    def snapshot(self) -> dict:
+        """All that was learned, as arrays; bounded by ``max_states``."""
+        every = [self._state(i) for i in range(self.frozen + len(self.states))]
+        kinds = sorted({s.kind for s in every})
+        at = np.nonzero(self.table >= 0)
+        digests = [b""] * len(every)
+        for digest, number in self.known.items():
+            digests[number] = digest
+        return {
+            "kinds": kinds, "kind": np.array([kinds.index(s.kind) for s in every], np.uint8),
+            "rep": b"".join(s.rep for s in every), "size": np.array([len(s.rep) for s in every], np.int32),
+            "last": np.concatenate([np.array(s.last, np.int32) for s in every]),
+            "upto": np.concatenate([np.array(s.upto, np.int32) for s in every]),
+            "lone": np.array([bool(s.lone) for s in every]), "blanks": np.array([s.blanks for s in every], np.int32),
+            "digests": b"".join(digests), "chars": list(self.chars), "rows": at[0].astype(np.int32),
+            "symbols": at[1].astype(np.int16), "steps": self.table[at],
+            "tops": self.tops[: len(every)].copy(), "flags": self.flags[: len(every)].copy(),
+        }
+
+    def restore(self, base: dict) -> None:
+        """Starts from a ``snapshot`` of a transducer of the same file, also when the states are dropped."""
+        self.base = base
+        self._reset()
+
+    def _load(self, base: dict) -> None:
+        n = self.frozen = len(base["size"])
+        self.chars = list(base["chars"])
+        while self.columns < len(self.chars):
+            self.columns *= 2
+        self.symbol[[ord(c) for c in self.chars[1:]]] = np.arange(1, len(self.chars))
+        self.table = np.full((n + 1024, self.columns), -1, np.int32)
+        self.table[base["rows"], base["symbols"]] = base["steps"]
+        self.tops = np.full((n + 1024, 5), -1, np.int32)
+        self.flags = np.zeros((n + 1024, 5), bool)
+        self.tops[:n], self.flags[:n] = base["tops"], base["flags"]
+        digests = base["digests"]
+        self.known = {digests[16 * i : 16 * i + 16]: i for i in range(n)}
+        self.places = np.concatenate([[0], np.cumsum(base["size"], dtype=np.int64)])
+
+    def _state(self, number: int) -> _State:
+        if number >= self.frozen:
+            return self.states[number - self.frozen]
+        base, s = self.base, _State()
+        low, high = int(self.places[number]), int(self.places[number + 1])
+        s.kind, s.rep = base["kinds"][base["kind"][number]], base["rep"][low:high]
+        s.last = base["last"][low + number : high + number + 1].tolist()
+        s.upto = base["upto"][low + number : high + number + 1].tolist()
+        s.lone, s.blanks = bool(base["lone"][number]), int(base["blanks"][number])
+        return s
+
     def _kind(self, c: str) -> str:
         got = self.classes.get(c)
         if got is None:
@@ -170,7 +225,7 @@ class Transducer:
         key = xxhash.xxh3_128_digest(repr((s.kind, tail, live, tops, flags, anchored, extra)))
         got = self.known.get(key)
         if got is None:
-            got = self.known[key] = len(self.states)
+            got = self.known[key] = self.frozen + len(self.states)
             s.last, s.upto = array("i", s.last), array("i", s.upto)
             self.states.append(s)
             if got >= len(self.table):
@@ -211,7 +266,7 @@ class Transducer:
 
     def _step(self, number: int, c: str) -> tuple[int, int]:
         """State after one more character, and the change of the count."""
-        s = self.states[number]
+        s = self._state(number)
         kind, total = self._kind(c), s.upto[-1]
         if s.kind == "blank" and kind != "blank":
             spaced = s.rep[-1:] == b" "
@@ -325,7 +380,7 @@ class Transducer:
         chunks: all heads whose entry is known run at once, so only chunks without
         such a place wait for the one before.
         """
-        if len(self.states) > self.max_states:
+        if self.frozen + len(self.states) > self.max_states:
             self._reset()
         raw = "".join(texts).encode("utf-32-le", "surrogatepass")
         codes = np.frombuffer(raw, "<u4").astype(np.int64)
@@ -442,13 +497,47 @@ class Transducer:
 _MADE: dict[str, Transducer] = {}
 
 
-def transducer(path: str) -> Transducer:
-    """One transducer for each Python worker."""
+def learned(docs, tokenizer: str, text_col: str = "text", rows: int = 6000, size: int = 16_000_000):
+    """What a transducer learns from a bounded sample of texts, as a broadcast for all workers; None if it cannot.
+
+    Each worker would compute the same common transitions anew. The sample (``rows`` texts,
+    ``size`` characters at most) only saves that work: what it lacks is computed where it
+    is met, and results do not depend on it. The broadcast is bounded by the states.
+    """
+    from pyspark.sql import functions as F
+
+    if not tokenizer.endswith(".json"):
+        return None
+    machine = Transducer(tokenizer, max_states=150_000)
+    if not machine.compiled:
+        return None
+    texts, total = [], 0
+    for r in docs.select(F.left(F.col(text_col), F.lit(20_000)).alias("text")).limit(rows).collect():
+        if r.text and machine.plain(r.text) and total < size:
+            texts.append(r.text)
+            total += len(r.text)
+    for at in range(0, len(texts), 256):
+        if len(machine.states) > machine.max_states - 10_000:
+            break
+        machine.run(texts[at : at + 256])
+    return docs.sparkSession.sparkContext.broadcast(machine.snapshot())
+
+
+def transducer(path: str, start=None) -> Transducer:
+    """One transducer for each Python worker, from what was ``learned`` if that is given."""
     if path not in _MADE:
-        _MADE[path] = Transducer(path)
+        machine = Transducer(path)
+        if start is not None and machine.compiled:
+            machine.restore(start.value)
+        _MADE[path] = machine
     return _MADE[path]
 
 
+def forget(path: str) -> None:
+    """Gives the memory of a worker's transducer back."""
+    _MADE.pop(path, None)
+
+
 def in_blocks(batches, rows: int = 512, chars: int = 1_000_000):
     """``(id, text)`` pairs of Arrow batches in lists of bounded size; null texts are empty."""
     block, size = [], 0

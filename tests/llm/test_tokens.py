@@ -155,3 +155,18 @@ def test_costs_are_balanced():
     assert sum(p[2] for p in pieces) == sum(lengths) == sum(sizes)
     assert full.std() / full.mean() < 0.05
     assert len(pieces) < len(lengths) + 2 * len(sizes)
+
+
+def test_snapshot_goes_on_where_it_was_taken(machine):
+    texts = ["a few words, a few more", "zwei drei, vier's", "  \n naïve 日本 x1y2", "ünder don't we'll"] * 3
+    first = Transducer(PATH)
+    first.counts(texts)
+    second = Transducer(PATH, max_states=600)
+    second.restore(first.snapshot())
+    more = [t[::-1] + " " + t.upper() + f" {i} tail" for i, t in enumerate(texts)] + texts
+    for _ in range(3):
+        assert [list(ids) for ids in second.encode(more)] == [list(ids) for ids in first.encode(more)]
+        assert second.counts(more) == [len(e.ids) for e in first.library.encode_batch(more, add_special_tokens=False)]
+    third = Transducer(PATH)
+    third.restore(second.snapshot())
+    assert third.counts(more) == second.counts(more)

@@ -45,7 +45,7 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of at most 2048 tokens."""
     reach_package(spark)
-    return packing.pack(docs, public_tokenizers.path(BPE))
+    return packing.pack(docs, public_tokenizers.path(BPE), keep=False)
 
 
 STAGES = [

@@ -160,11 +160,12 @@ def _confident(rows: DataFrame, model: Model, most: int, sure: float) -> DataFra
     def run(frames):
         for f in frames:
             a, b, _ = model.score(f["text"], f["lang"], f["source"], f["n_chars"].fillna(0))
+            ids = f["doc_id"].to_numpy()
             for view, p in (("text", a), ("meta", b)):
                 for guess, q in ((1, p), (0, 1 - p)):
                     at = np.flatnonzero(q >= sure)
-                    at = at[np.argsort(-q[at], kind="stable")[:most]]
-                    yield pd.DataFrame({"doc_id": f["doc_id"].to_numpy()[at], "view": view, "guess": guess, "q": q[at]})
+                    at = at[np.lexsort((ids[at], -q[at]))[:most]]  # ties by id, as below: batches do not matter
+                    yield pd.DataFrame({"doc_id": ids[at], "view": view, "guess": guess, "q": q[at]})
 
     found = rows.filter("doc_id is not null").mapInPandas(run, "doc_id long, view string, guess int, q double")
     order = Window.partitionBy("view", "guess").orderBy(F.desc("q"), "doc_id")

@@ -14,7 +14,7 @@ from recordlens.functions import email as E
 from recordlens.functions import measure as M
 from recordlens.functions import text as T
 from recordlens.operators.rows import stack
-from recordlens.plans.emails import market_bit, domain_pairs, has_bit, in_markets, market_masks
+from recordlens.plans.emails import in_markets
 from recordlens.schemas import SUMMARY_COUNTS
 
 MARKETS = K.EMAIL_MARKETS
@@ -43,22 +43,45 @@ def spine(emails: DataFrame, run_dates: list[str]) -> DataFrame:
     return emails.sparkSession.sql(f"SELECT * FROM VALUES {rows} AS t(run_date, country)")
 
 
-def _email_sets(emails: DataFrame) -> DataFrame:
-    """Types, verification and excess per country, in one pass over the e-mails.
+def _company_rows(companies: DataFrame, run_dates: list[str]) -> DataFrame:
+    """Rows of the head-office markets, once per run, keyed as the e-mails are in ``_facts``."""
+    host = T.has_text(F.col("fqdn")) & F.col("fqdn").contains(".")
+    dates = F.array(*[F.lit(d).cast("date") for d in run_dates])
+    return in_markets(companies, "hq_country").filter("id is not null").select(
+        F.explode(dates).alias("run_date"), "id", F.col("hq_country").alias("country"),
+        F.when(host, T.domain_root(F.col("fqdn"))).otherwise("").alias("root"),
+        F.lit(1).alias("hub"),
+        T.has_text(F.col("fqdn")).cast("int").alias("has_fqdn"),
+        host.cast("int").alias("host"),
+    )
+
+
+def _facts(companies: DataFrame, emails: DataFrame, run_dates: list[str]) -> DataFrame:
+    """Types, verification, excess, coverage, host gap and domain pairs per run and market, in one pass over the e-mails.
 
-    Rows fold by (company, country) first; a country that holds most rows then
-    is a sum of folded rows.
+    Companies are rows of the same aggregate as the e-mails, so nothing is joined. Rows
+    fold by (run, company, country, domain root), where a host meets the addresses that
+    share its root; then by (run, company, country), where the market of the head office
+    meets its addresses; then by (run, country). Each fold has a map-side part, so a
+    company or country with most rows is a few rows per task.
     """
     email, status = F.col("email"), F.trim("verification_status")
+    market = F.col("country").isin(*MARKETS)
     # each pattern runs once per row: the classes are columns before they are counted
-    tested = in_markets(emails).select(
+    tested = emails.select(
         "run_date", "country", "id", "verification_status",
+        market.alias("market"),
+        email.isNotNull().alias("present"),
         T.has_text(email).alias("text"),
-        E.is_well_formed(email).alias("formed"),
-        E.is_system(email).alias("system"),
-        E.is_free(email, "regional").alias("free"),
-        E.is_generic(email, "regional").alias("generic"),
+        (market & E.is_well_formed(email)).alias("formed"),
+        (market & E.is_system(email)).alias("system"),
+        (market & E.is_free(email, "regional")).alias("free"),
+        (market & E.is_generic(email, "regional")).alias("generic"),
+        (market & email.contains("@")).alias("address"),
+        F.when(market & email.contains("@"), T.email_root(email)).otherwise("").alias("root"),
     )
+    tested = tested.unionByName(_company_rows(companies, run_dates), allowMissingColumns=True)
+    ours = F.col("hub").isNull() & F.col("market")
     formed, system, free, generic = map(F.col, ("formed", "system", "free", "generic"))
     rest = formed & ~system & ~free
     # a system address at a free provider counts under both
@@ -68,69 +91,76 @@ def _email_sets(emails: DataFrame) -> DataFrame:
         "system_blocked": formed & system,
         "free_provider": formed & free,
     }
-    folded = tested.groupBy("run_date", "country", "id").agg(
-        F.count("*").alias("all_rows"),
-        F.count_if(F.col("text")).alias("texts"),
-        F.count_if(formed).alias("formed"),
-        *[F.count_if(condition).alias(k) for k, condition in kinds.items()],
-        F.count_if(T.is_blank(F.col("verification_status"))).alias("unverified"),
-        *[
-            F.count_if(status == s).alias(s.lower().replace(" ", "_"))
-            for s in K.VERIFICATION_STATES
-        ],
+    states = {s.lower().replace(" ", "_"): s for s in K.VERIFICATION_STATES}
+    plain = ["all_rows", "unverified", *states]
+    count = F.count_if
+    rooted = tested.groupBy("run_date", "country", "id", "root").agg(
+        count(ours).alias("all_rows"),
+        count("text").alias("texts"),
+        count("present").alias("present"),
+        count(~F.col("present")).alias("absent"),
+        count(formed).alias("formed"),
+        *[count(condition).alias(k) for k, condition in kinds.items()],
+        count(ours & T.is_blank(F.col("verification_status"))).alias("unverified"),
+        *[count(ours & (status == s)).alias(k) for k, s in states.items()],
+        count("address").alias("addresses"),
+        F.count("hub").alias("hub"),
+        F.max("has_fqdn").alias("has_fqdn"),
+        F.coalesce(F.sum("host"), F.lit(0)).alias("hosts"),
     )
-    # without a single well-formed row the type counts of a country are unknown
-    some_formed = F.sum("formed") > 0
-    plain = ["all_rows", "unverified", "highly_likely", "likely", "unsure"]
+    shared = F.when(F.col("root") != "", F.col("addresses") * F.col("hosts")).otherwise(0)
+    sums = ["all_rows", "texts", "present", "absent", "formed", *kinds, *plain[1:], "hub"]
+    folded = rooted.groupBy("run_date", "country", "id").agg(
+        *[F.sum(c).alias(c) for c in sums],
+        F.max("has_fqdn").alias("has_fqdn"),
+        (F.sum("addresses") * F.sum("hosts")).alias("pairs"),
+        F.sum(shared).alias("matches"),
+    )
+    # texts of a company in any country: one row per country of the company at most
+    anywhere = F.sum("texts").over(Window.partitionBy("run_date", "id"))
+    folded = folded.withColumn("texts_anywhere", anywhere).filter(F.col("country").isin(*MARKETS))
+    hub, fqdn = F.col("hub") > 0, F.col("has_fqdn") == 1
+    here, present, absent = F.col("texts") > 0, F.col("present") > 0, F.col("absent") > 0
+    # without a single row, or well-formed row, the counts of a country are unknown
+    some, some_formed, some_pairs = (F.sum(c) > 0 for c in ("all_rows", "formed", "pairs"))
     return folded.groupBy(*RUN).agg(
         F.when(some_formed, F.sum("formed")).alias("total_email_rows"),
         *[F.when(some_formed, F.sum(c)).alias(c) for c in kinds],
-        *[F.sum(c).alias(c) for c in plain],
-        F.count("*").alias("company_country_pairs"),
-        F.count_if(F.col("texts") > K.MAX_EMAILS_PER_COMPANY).alias("companies_gt5_emails"),
+        *[F.when(some, F.sum(c)).alias(c) for c in plain],
+        F.when(some, count(F.col("all_rows") > 0)).alias("company_country_pairs"),
+        F.when(some, count(F.col("texts") > K.MAX_EMAILS_PER_COMPANY)).alias("companies_gt5_emails"),
+        count(hub & here).alias("with_email"),
+        count(hub & ~here & (F.col("texts_anywhere") > 0)).alias("has_email_other_market"),
+        count(fqdn & present).alias("has_fqdn_with_email"),
+        count(fqdn & present & ~absent).alias("fqdn_only_present"),
+        F.when(some_pairs, F.sum("pairs")).alias("domain_pairs"),
+        F.when(some_pairs, F.sum("matches")).alias("domain_match"),
+        F.when(some_pairs, F.sum("pairs") - F.sum("matches")).alias("domain_mismatch"),
     )
 
 
-def _coverage_sets(companies: DataFrame, emails: DataFrame, runs: DataFrame) -> DataFrame:
-    """Coverage and host gap of the market of the head office.
-
-    Companies that have e-mail rows meet them by an inner join on folded rows;
-    what is left of the totals has none.
-    """
+def _totals(companies: DataFrame, runs: DataFrame) -> DataFrame:
+    """Companies of each market and how many of them have a host name."""
     hub = in_markets(companies, "hq_country").groupBy("id", "hq_country").agg(
         F.max(T.has_text(F.col("fqdn"))).alias("has_fqdn")
     )
     totals = hub.groupBy(F.col("hq_country").alias("country")).agg(
-        F.count("*").alias("total_companies"),
-        F.count_if(F.col("has_fqdn")).alias("fqdns"),
-    )
-    bit = market_bit("hq_country")
-    joined = market_masks(emails, ("run_date", "id")).join(hub, "id")
-    here = has_bit("text_mask", bit)
-    fqdn, present, absent = F.col("has_fqdn"), has_bit("present_mask", bit), has_bit("absent_mask", bit)
-    seen = joined.groupBy("run_date", F.col("hq_country").alias("country")).agg(
-        F.count_if(here).alias("with_email"),
-        F.count_if(~here & (F.col("n_text") > 0)).alias("has_email_other_market"),
-        F.count_if(fqdn & present).alias("has_fqdn_with_email"),
-        F.count_if(fqdn & present & ~absent).alias("fqdn_only_present"),
-    )
-    zero = F.lit(0).cast("bigint")
-    count = lambda c: F.coalesce(F.col(c), zero)
-    some_fqdn = F.col("fqdns") > 0
-    return (
-        runs.join(totals, "country")
-        .join(seen, RUN, "left")
-        .select(
-            *RUN,
-            "total_companies",
-            count("with_email").alias("with_email"),
-            (F.col("total_companies") - count("with_email")).alias("missing_email"),
-            count("has_email_other_market").alias("has_email_other_market"),
-            F.when(some_fqdn, F.col("fqdns")).alias("companies_with_fqdn"),
-            F.when(some_fqdn, F.col("fqdns") - count("fqdn_only_present")).alias("has_fqdn_no_email"),
-            F.when(some_fqdn, count("has_fqdn_with_email")).alias("has_fqdn_with_email"),
-        )
+        F.count("*").alias("total_companies"), F.count_if(F.col("has_fqdn")).alias("fqdns")
     )
+    return runs.join(totals, "country").select(*RUN, "total_companies", "fqdns")
+
+
+def _with_gaps(sets: DataFrame) -> DataFrame:
+    """The counts that are set against the totals; unknown in a market without companies (with a host name)."""
+    of = lambda whole, c: F.when(F.col(whole) > 0, F.coalesce(F.col(c), F.lit(0)))
+    return sets.withColumns({
+        "with_email": of("total_companies", "with_email"),
+        "missing_email": F.col("total_companies") - of("total_companies", "with_email"),
+        "has_email_other_market": of("total_companies", "has_email_other_market"),
+        "companies_with_fqdn": F.when(F.col("fqdns") > 0, F.col("fqdns")),
+        "has_fqdn_no_email": F.col("fqdns") - of("fqdns", "fqdn_only_present"),
+        "has_fqdn_with_email": of("fqdns", "has_fqdn_with_email"),
+    })
 
 
 def _deliverability_set(deliv: DataFrame) -> DataFrame:
@@ -145,29 +175,14 @@ def _deliverability_set(deliv: DataFrame) -> DataFrame:
     )
 
 
-def _mismatch_set(companies: DataFrame, emails: DataFrame) -> DataFrame:
-    return domain_pairs(companies, emails, "hq", ("run_date",)).select(
-        "run_date",
-        F.col("hq_country").alias("country"),
-        F.col("pairs").alias("domain_pairs"),
-        F.col("matches").alias("domain_match"),
-        (F.col("pairs") - F.col("matches")).alias("domain_mismatch"),
-    )
-
-
 def country_summary(
     companies: DataFrame, emails: DataFrame, deliv: DataFrame, run_dates: list[str]
 ) -> DataFrame:
     """One row per run and market with all counts and percents."""
     runs = spine(emails, run_dates)
-    sets = stack(
-        RUN,
-        runs,
-        _coverage_sets(companies, emails, runs),
-        _email_sets(emails),
-        _deliverability_set(deliv),
-        _mismatch_set(companies, emails),
-    )
+    sets = _with_gaps(stack(
+        RUN, runs, _totals(companies, runs), _facts(companies, emails, run_dates), _deliverability_set(deliv)
+    ))
     shares = [M.pct(F.col(a), F.col(b)).alias(p) for p, (a, b) in PERCENTS.items()]
     return sets.join(runs, RUN, "left_semi").select(*RUN, *SUMMARY_COUNTS, *shares)
 

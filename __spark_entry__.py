@@ -13,6 +13,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from recordlens.functions import text as T  # noqa: E402
 from recordlens.operators import sinks  # noqa: E402
+from recordlens.operators.key_filters import insert_new  # noqa: E402
 from recordlens.plans import audit, customers, emails, records, runs, weekly  # noqa: E402
 from recordlens.session import work_dir  # noqa: E402
 from recordlens.sources import files  # noqa: E402
@@ -155,6 +156,15 @@ def _file_stream(i: Inputs) -> DataFrame:
     return _loaded(i, tables)
 
 
+def _append_stored(i: Inputs) -> DataFrame:
+    """Row table after an earlier load, a load of all rows and that load again."""
+    path = f"{work_dir(i.spark, 'rows')}/rows"
+    for batch in (i.stored_rows(), i.rows(), i.rows()):
+        kept = batch.select("run_date", "record_id", "customer_domain", "sub_status")
+        insert_new(kept, path, ["run_date", "record_id"])
+    return i.spark.read.schema(kept.schema).parquet(path)
+
+
 def _input_files(i: Inputs) -> str:
     """Company inputs as one CSV file per source file, in order of their rows."""
     root = work_dir(i.spark, "inputs")
@@ -189,6 +199,7 @@ _JOBS: dict[str, Callable[[Inputs], DataFrame]] = {
     "cta_append_new": lambda i: customers.new_rows(i.rows(), i.stored_rows()).select(
         "run_date", "record_id", "customer_domain", "sub_status"
     ),
+    "cta_append_stored": _append_stored,
     "cta_staging": lambda i: i.staged(),
     "cta_staging_prefer_exact": lambda i: customers.staging(
         i.rows(), i.catalog, i.contact, i.people, prefer_exact=True, keep_unkeyed=True

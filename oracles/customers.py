@@ -164,6 +164,10 @@ def queries() -> dict[str, str]:
             SELECT run_date, record_id, customer_domain, sub_status FROM ingested i
             WHERE NOT EXISTS (SELECT 1 FROM ingested e WHERE e.{stored}
                 AND e.run_date = i.run_date AND e.record_id = i.record_id)"""),
+        "cta_append_stored": query("f_subscription", INGEST, f"""
+            SELECT run_date, record_id, customer_domain, sub_status FROM ingested i
+            WHERE {stored} OR NOT EXISTS (SELECT 1 FROM ingested e WHERE e.{stored}
+                AND e.run_date IS NOT DISTINCT FROM i.run_date AND e.record_id IS NOT DISTINCT FROM i.record_id)"""),
         "cta_staging": stage("SELECT * FROM staged"),
         "cta_staging_prefer_exact": query(
             "f_subscription f_catalog", [*INGEST, every_row, USABLE, PAIRS, exact_pairs], """

@@ -64,8 +64,8 @@ def insert_missing(
     """
     stored = read_or_none(batch.sparkSession, path)
     if stored is not None and partition in keys:
-        known = batch.select(partition) if partitions is None else partitions.select(partition)
-        stored = stored.join(known.distinct(), partition, "left_semi")
+        known = (batch if partitions is None else partitions).select(F.col(partition).alias("_in")).distinct()
+        stored = stored.join(known, F.col(partition).eqNullSafe(F.col("_in")), "left_semi")
     new = missing_rows(batch, stored, keys)
     if partition:
         by_partition(new, partition).write.mode("append").partitionBy(partition).parquet(path)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from recordlens.operators import sinks
 from recordlens.operators.generations import Generations
+from recordlens.operators.key_filters import insert_new
 from recordlens.plans import audit, emails, records, weekly
 from recordlens.schemas import TABLES, conform
 from recordlens.session import configure
@@ -58,7 +59,7 @@ def audit_run(
     spark = configure(rows.sparkSession)
 
     def add(name: str, frame: DataFrame, keys: list[str]) -> DataFrame:
-        sinks.insert_missing(conform(frame, name), f"{root}/{name}", keys, "run_id", runs)
+        insert_new(conform(frame, name), f"{root}/{name}", keys, "run_id")
         return sinks.table(spark, root, name).join(runs, "run_id", "left_semi")
 
     def rebuilt(name: str, frame: DataFrame) -> DataFrame:

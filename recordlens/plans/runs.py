@@ -63,10 +63,10 @@ def audit_run(
         return sinks.table(spark, root, name).join(runs, "run_id", "left_semi")
 
     def rebuilt(name: str, frame: DataFrame) -> DataFrame:
-        return sinks.stored(frame, f"{root}/{name}")
+        return sinks.stored(conform(frame, name), f"{root}/{name}")
 
     by_market = [*audit.TRIAL, "market"]
-    new = rebuilt("current_trials", conform(audit.audit_input(rows), "trials"))
+    new = sinks.stored(conform(audit.audit_input(rows), "trials"), f"{root}/current_trials")
     runs = new.select("run_id").distinct()
     trials = add("trials", new, audit.TRIAL)
     matched = rebuilt("match", audit.audit_match(trials, catalog, contacts))

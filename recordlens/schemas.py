@@ -60,6 +60,23 @@ TABLES = {
     "trials": """trial_id string, run_id string, run_date date, domain_raw string, domain string,
         crm_name string, customer_id string, icp string, sub_status string, product_name string,
         plan_amount_aud double, billing_country string, seats bigint""",
+    "match": """trial_id string, run_id string, run_date date, domain string, crm_name string,
+        customer_id string, match_status string, catalog_id string, catalog_hq_country string,
+        catalog_name string, catalog_website string, catalog_linkedin string,
+        catalog_industry string, catalog_founded_year int, catalog_company_type string,
+        catalog_phone string, catalog_email string""",
+    "field_coverage": """trial_id string, run_id string, run_date date, domain string,
+        crm_name string, customer_id string, match_status string, catalog_id string,
+        name_covered int, website_covered int, linkedin_covered int, industry_covered int,
+        founded_year_covered int, hq_country_covered int, company_type_covered int,
+        phone_covered int, email_covered int, field_coverage_pct double,
+        fields_missing_count int, missing_fields array<string>""",
+    "gap_summary": """trial_id string, run_id string, run_date date, domain string,
+        crm_name string, customer_id string, catalog_id string, market string,
+        field_coverage_pct double, fields_missing_count int, missing_fields array<string>,
+        people_count bigint, headcount bigint, people_gap bigint, people_coverage_pct double,
+        in_catalog_at_location boolean, payload_has_location boolean, location_gap boolean,
+        location_coverage_pct double""",
     "trial_payloads": """trial_id string, run_id string, run_date date, domain string,
         catalog_id string, slug string, payload_status string, payload_raw string,
         payload_slug string""",

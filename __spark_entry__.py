@@ -73,8 +73,8 @@ class Inputs:
         )
 
     def scores(self, entity: str = "domain") -> DataFrame:
-        matched = self.matched()
-        return audit.quality_score(self.gaps(matched), matched, entity)
+        rows = audit.run_scores_at_once(self.matched(), self.people, self.region, self.payload)
+        return audit.with_change(rows, entity)
 
     def persons(self) -> DataFrame:
         return records.mark_duplicates(self.person_input, "person")

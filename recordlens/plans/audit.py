@@ -123,20 +123,27 @@ def audit_enrich(slugs: DataFrame, payloads: DataFrame) -> DataFrame:
     )
 
 
+def _field_measures() -> list:
+    """Percent of the nine fields, number and names of the missing ones, from the columns of a match."""
+    present = reduce(add, [M.flag(field_present(f, FIELDS)) for f in FIELDS])
+    missing = F.array_compact(
+        F.array(*[F.when(~field_present(f, FIELDS), F.lit(f)) for f in FIELDS])
+    )
+    return [
+        M.pct(present, F.lit(len(FIELDS))).alias("field_coverage_pct"),
+        (F.lit(len(FIELDS)) - present).alias("fields_missing_count"),
+        missing.alias("missing_fields"),
+    ]
+
+
 def field_coverage(matched: DataFrame) -> DataFrame:
     """Flags of the nine fields, their percent and the names of the missing ones."""
     rows = matched.filter(F.col("match_status") == MATCHED)
     flags = {f: M.flag(field_present(f, FIELDS)) for f in FIELDS}
-    present = reduce(add, flags.values())
-    missing = F.array_compact(
-        F.array(*[F.when(~field_present(f, FIELDS), F.lit(f)) for f in FIELDS])
-    )
     return rows.select(
         *TRIAL, "run_date", "domain", "crm_name", "customer_id", "match_status", "catalog_id",
         *[c.alias(f"{f}_covered") for f, c in flags.items()],
-        M.pct(present, F.lit(len(FIELDS))).alias("field_coverage_pct"),
-        (F.lit(len(FIELDS)) - present).alias("fields_missing_count"),
-        missing.alias("missing_fields"),
+        *_field_measures(),
     )
 
 
@@ -282,6 +289,98 @@ def run_scores(gaps: DataFrame, matched: DataFrame) -> DataFrame:
     return scored.unionByName(absent)
 
 
+def _company_markets(people: DataFrame, regions: DataFrame) -> DataFrame:
+    """``company_id, markets``: (market, people_count, in_catalog) of the audit markets of a company.
+
+    One hash aggregate with a pair of states per market, so both tables are folded
+    before one shuffle, and the array has an element per audit market at most.
+    """
+    market = F.col("country_code")
+    rows = people.select("company_id", market, F.lit(True).alias("person")).unionByName(
+        regions.select("company_id", market, F.lit(False).alias("person"))
+    )
+    states = [
+        F.struct(
+            F.lit(m).alias("market"),
+            F.count_if((market == m) & F.col("person")).alias("people_count"),
+            (F.count_if((market == m) & ~F.col("person")) > 0).alias("in_catalog"),
+        ).alias(m)
+        for m in K.AUDIT_MARKETS
+    ]
+    folded = rows.filter(market.isin(*K.AUDIT_MARKETS)).groupBy("company_id").agg(*states)
+    held = F.filter(F.array(*K.AUDIT_MARKETS), lambda x: (x["people_count"] > 0) | x["in_catalog"])
+    return folded.select("company_id", held.alias("markets"))
+
+
+def _payload_facts(matched: DataFrame, payloads: DataFrame) -> DataFrame:
+    """Headcount and markets from the payload of the first trial of each slug of a run; others have none."""
+    slugs = audit_slugs(matched).filter((F.col("run_id") != "") & (F.col("slug") != ""))
+    firsts = slugs.groupBy("run_id", "slug").agg(F.min("trial_id").alias("trial_id"))
+    locations = F.from_json(T.json_text(F.col("raw"), "$.locations"), "array<string>")
+    countries = F.transform(locations, lambda x: F.upper(F.trim(T.json_text(x, "$.address.country"))))
+    facts = (
+        payloads.filter(F.col("status") == "200")
+        .groupBy("slug")
+        .agg(F.max("raw").alias("raw"))
+        .select(
+            "slug",
+            T.payload_value(F.col("raw"), "$.employee_count", "int").alias("headcount"),
+            F.array_distinct(F.filter(countries, lambda x: x.isin(*K.AUDIT_MARKETS))).alias("payload_markets"),
+        )
+    )
+    return firsts.join(facts, "slug").drop("slug")
+
+
+def run_scores_at_once(
+    matched: DataFrame, people: DataFrame, regions: DataFrame, payloads: DataFrame
+) -> DataFrame:
+    """``run_scores`` straight from the match, without the tables between.
+
+    The stored run makes coverage and gap tables one by one, and each starts from
+    the match. Where only scores are asked for, a trial gets its markets as one
+    short array per company and its payload as one row of facts; the rows per
+    market unfold from there. The match is used twice (rows, first trials of
+    slugs), nothing is joined by trial and market, and there is no window.
+    """
+    spine = left_join_sparse(
+        matched, _company_markets(people, regions).withColumnRenamed("company_id", "catalog_id"),
+        "catalog_id", "trial_id",
+    ).join(_payload_facts(matched, payloads), TRIAL, "left")
+    none = F.array().cast("array<string>")
+    placed = F.transform(F.filter("markets", lambda x: x["in_catalog"]), lambda x: x["market"])
+    # a trial without people keeps one row, as its market is unknown
+    rows = spine.select(
+        *TRIAL, "run_date", "domain", "crm_name", "customer_id", "catalog_id", "match_status",
+        *_field_measures(), "headcount",
+        F.coalesce(placed, none).alias("placed"),
+        F.coalesce("payload_markets", none).alias("payload_markets"),
+        F.explode_outer(F.filter("markets", lambda x: x["people_count"] > 0)).alias("at"),
+    )
+    in_catalog = F.coalesce(F.array_contains("placed", F.col("at.market")), F.lit(False))
+    in_payload = F.coalesce(F.array_contains("payload_markets", F.col("at.market")), F.lit(False))
+    headcount = F.coalesce("headcount", F.lit(0)).cast("bigint")
+    zero = F.lit(0.0)
+    share = M.clamp(M.pct(F.col("at.people_count"), headcount))
+    placed_share = F.when(
+        in_catalog | in_payload, M.pct(F.size("placed"), F.size("payload_markets"))
+    )
+    measured = rows.select(
+        "*", F.coalesce(share, zero).alias("people_coverage_pct"),
+        F.coalesce(placed_share, zero).alias("location_coverage_pct"),
+    )
+    parts = F.col("field_coverage_pct") + F.col("people_coverage_pct") + F.col("location_coverage_pct")
+    known = F.col("match_status") == MATCHED
+    return measured.select(
+        *TRIAL, "run_date", "domain", "crm_name", "customer_id", "catalog_id", "match_status",
+        F.col("at.market").alias("market"),
+        "field_coverage_pct", "people_coverage_pct", "location_coverage_pct",
+        M.clamp(F.round(parts / 3.0, 2)).alias("quality_score"),
+        "fields_missing_count", F.when(known, F.col("missing_fields")).alias("missing_fields"),
+        F.coalesce(F.greatest(headcount - F.col("at.people_count"), F.lit(0)), F.lit(0)).alias("people_gap"),
+        M.flag(in_payload & ~in_catalog).alias("location_gap_count"),
+    )
+
+
 def quality_score(gaps: DataFrame, matched: DataFrame, entity: str = "domain") -> DataFrame:
     """Score, band and change against the last earlier run of the same entity and market.
 
@@ -289,8 +388,13 @@ def quality_score(gaps: DataFrame, matched: DataFrame, entity: str = "domain") -
     trial id is not, and with ``entity="trial_id"`` every row is a first run.
     Unmatched trials have fixed values and no history.
     """
+    return with_change(run_scores(gaps, matched), entity)
+
+
+def with_change(scores: DataFrame, entity: str = "domain") -> DataFrame:
+    """Band and change of score rows of any number of runs, as ``quality_score`` gives them."""
     known = F.col("match_status") == MATCHED
-    history = run_scores(gaps, matched).withColumn("known", known)
+    history = scores.withColumn("known", known)
     w = Window.partitionBy(entity, "market", "known").orderBy("run_date", "run_id")
     prior = F.when(known, F.lag("quality_score").over(w))
     change = F.round(F.col("quality_score") - F.col("prev_quality_score"), 2)

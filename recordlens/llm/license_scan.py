@@ -26,19 +26,49 @@ TEMPLATES = {
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
         "that the following conditions are met"
     ),
+    "BSD-3-Clause condition": (
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission."
+    ),
+    "CC-BY-4.0 notice": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
+    "CC-BY-SA-4.0 notice": (
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."
+    ),
+    "CC0 notice": (
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to "
+        "this work."
+    ),
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
     "GPL notice": (
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
         "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
         "option) any later version."
     ),
+    "ISC notice": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+        "hereby granted, provided that the above copyright notice and this permission notice appear in all copies."
+    ),
+    "LGPL notice": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or "
+        "(at your option) any later version."
+    ),
     "MIT": "Released under the MIT License.",
     "MIT notice": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
         "documentation files (the \"Software\"), to deal in the Software without restriction"
     ),
+    "MPL-2.0 notice": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
+        "not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."
+    ),
     "Reserved": "All rights reserved.",
+    "Unlicense notice": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
+        "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, "
+        "for any purpose, commercial or non-commercial, and by any means."
+    ),
 }
 
 
@@ -114,13 +144,22 @@ class Template:
             self.needed.setdefault(self.words[k], []).append(k)
 
     def scan(self, text: list[str], at: dict[str, list[int]]) -> list[tuple[float, int, int, int]]:
-        """``coverage, matched, first, last`` of the matches, best of each overlapping set of places."""
+        """``coverage, matched, first, last`` of the matches, best of each overlapping set of places.
+
+        A place is aligned as it stands first, then, unless that is whole, with slack around it: among
+        copies in a row no word of the wider window is unique.
+        """
         m = len(self.words)
         wanted = sorted({(p - k) for w, ks in self.needed.items() for p in at.get(w, ()) for k in ks})
         out: list[tuple[float, int, int, int]] = []
         for start in wanted:
-            low, high = max(0, start - self.slack), min(len(text), start + m + self.slack)
-            pairs = align(text[low:high], self.words)
+            low = max(0, start)
+            pairs = align(text[low : max(0, start + m)], self.words)
+            if len(pairs) < m:
+                wide = max(0, start - self.slack)
+                more = align(text[wide : max(0, start + m + self.slack)], self.words)
+                if len(more) > len(pairs):
+                    low, pairs = wide, more
             if len(pairs) >= self.coverage * m:
                 row = (len(pairs) / m, len(pairs), low + pairs[0][0], low + pairs[-1][0])
                 if out and row[2] <= out[-1][3]:
@@ -141,7 +180,10 @@ def scan(
 
     ``coverage`` is the share of the template's words that the alignment finds in
     order, near each other; the best place of a document is given and the number of
-    places. Words are runs of letters and digits, in lower case.
+    places. Words are runs of letters and digits, in lower case. A text that holds the words
+    of two templates gives a row for each (a share-alike notice holds all words of the plain
+    one); the row with more matched words is the nearer. Among places of equal coverage the
+    first counts. A very long text costs memory for its words, and time for its places only.
 
     Null and empty texts hold nothing; null ids stay null; repeated rows are scanned one
     by one; an empty table gives no rows; other columns are ignored. Texts are scanned

@@ -33,6 +33,30 @@ def test_query_against_search(spark, sf_dir):
     assert got == {(i, n) for i, t in plain.items() for n, line in lines.items() if line in t}
 
 
+def test_every_template_whole_and_edited(spark):
+    texts, names = [], sorted(license_scan.TEMPLATES)
+    for k, name in enumerate(names):
+        words = license_scan.split_words(license_scan.TEMPLATES[name])
+        texts.append((2 * k, "lorem ipsum " + " ".join(words) + " dolor sit"))
+        if len(words) > 12:  # one word lost, one put in
+            texts.append((2 * k + 1, " ".join([*words[:4], "xyzzy", *words[4:7], *words[8:]])))
+    rows = license_scan.scan(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    got = {(r.doc_id, r.license): r.coverage for r in rows}
+    for k, name in enumerate(names):
+        assert got[2 * k, name] == 1.0
+    for i, _ in texts:
+        if i % 2:
+            assert 0.9 < got[i, names[i // 2]] < 1.0
+
+
+def test_line_repeated_in_a_row(spark):
+    docs = [(n, "\n".join([license_scan.TEMPLATES["MIT"]] * n)) for n in range(1, 8)]
+    rows = license_scan.scan(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_places, r.first_word, r.coverage) for r in rows if r.license == "MIT"} == {
+        n: (n, 0, 1.0) for n, _ in docs
+    }
+
+
 def test_edited_and_odd_licenses(spark, odd):
     text = license_scan.TEMPLATES["Apache-2.0 notice"]
     words = text.split()

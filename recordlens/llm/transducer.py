@@ -14,11 +14,13 @@ from __future__ import annotations
 import bisect
 import json
 import os
+import pickle
 import re
 import unicodedata
 from array import array
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 
 # What the word pattern of byte-level tokenizers takes as one piece after an apostrophe.
@@ -495,40 +497,57 @@ class Transducer:
 
 
 _MADE: dict[str, Transducer] = {}
+# states of a sample and of a worker that begins with it; such workers stand beside those of other stages
+SAMPLE_STATES, SHARED_STATES = 80_000, 110_000
 
 
-def learned(docs, tokenizer: str, text_col: str = "text", rows: int = 6000, size: int = 16_000_000):
+def learned(docs, tokenizer: str, text_col: str = "text", rows: int = 1500, size: int = 4_000_000):
     """What a transducer learns from a bounded sample of texts, as a broadcast for all workers; None if it cannot.
 
     Each worker would compute the same common transitions anew. The sample (``rows`` texts,
-    ``size`` characters at most) only saves that work: what it lacks is computed where it
-    is met, and results do not depend on it. The broadcast is bounded by the states.
+    ``size`` characters at most, of the first partition that has any) only saves that work: what
+    it lacks is computed where it is met, and results do not depend on it. One task learns; the
+    driver passes on the bytes of what it learned, which are bounded by the states.
     """
     from pyspark.sql import functions as F
 
     if not tokenizer.endswith(".json"):
         return None
-    machine = Transducer(tokenizer, max_states=150_000)
-    if not machine.compiled:
+
+    def learn(batches):
+        machine, count, total = None, 0, 0
+        for batch in batches:
+            texts = [t for t in batch.column(0).to_pylist() if t] if count < rows and total < size else []
+            if not texts:
+                continue
+            if machine is None:
+                machine = Transducer(tokenizer, max_states=SAMPLE_STATES)
+            if not machine.compiled:
+                break
+            texts = [t for t in texts[: rows - count] if machine.plain(t)]
+            for at in range(0, len(texts), 256):
+                if len(machine.states) > machine.max_states - 10_000 or total >= size:
+                    break
+                part = texts[at : at + 256]
+                machine.run(part)
+                count, total = count + len(part), total + sum(map(len, part))
+        if machine is not None:
+            found = pickle.dumps(machine.snapshot()) if machine.compiled else None
+            yield pa.RecordBatch.from_arrays([pa.array([found], pa.binary())], names=["snapshot"])
+
+    sample = docs.select(F.left(F.col(text_col), F.lit(20_000)).alias("text"))
+    found = sample.mapInArrow(learn, "snapshot binary").first()
+    if found is None or found[0] is None:
         return None
-    texts, total = [], 0
-    for r in docs.select(F.left(F.col(text_col), F.lit(20_000)).alias("text")).limit(rows).collect():
-        if r.text and machine.plain(r.text) and total < size:
-            texts.append(r.text)
-            total += len(r.text)
-    for at in range(0, len(texts), 256):
-        if len(machine.states) > machine.max_states - 10_000:
-            break
-        machine.run(texts[at : at + 256])
-    return docs.sparkSession.sparkContext.broadcast(machine.snapshot())
+    return docs.sparkSession.sparkContext.broadcast(bytes(found[0]))
 
 
 def transducer(path: str, start=None) -> Transducer:
     """One transducer for each Python worker, from what was ``learned`` if that is given."""
     if path not in _MADE:
-        machine = Transducer(path)
+        machine = Transducer(path) if start is None else Transducer(path, max_states=SHARED_STATES)
         if start is not None and machine.compiled:
-            machine.restore(start.value)
+            machine.restore(pickle.loads(start.value))
         _MADE[path] = machine
     return _MADE[path]
 

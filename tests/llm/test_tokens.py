@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from recordlens.llm import packing, queries, token_counts, token_store
-from recordlens.llm.transducer import Transducer
+from recordlens.llm.transducer import Transducer, forget, learned, transducer
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 TRICKY = [
@@ -170,3 +170,19 @@ def test_snapshot_goes_on_where_it_was_taken(machine):
     third = Transducer(PATH)
     third.restore(second.snapshot())
     assert third.counts(more) == second.counts(more)
+
+
+def test_driver_learns_nothing_itself(spark, odd, odd_rows, machine, monkeypatch):
+    def refused(*args, **kwargs):
+        raise AssertionError("a transducer on the driver")
+
+    with monkeypatch.context() as m:
+        m.setattr(Transducer, "__init__", refused)
+        start = learned(odd, PATH)
+        assert learned(odd.filter("text is null"), PATH) is None
+    texts = [t or "" for _, t in odd_rows]
+    forget(PATH)
+    restored = transducer(PATH, start)
+    assert restored.frozen > 1
+    assert [list(ids) for ids in restored.encode(texts)] == whole(machine, texts)
+    forget(PATH)

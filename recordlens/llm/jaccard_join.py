@@ -187,9 +187,9 @@ def jaccard_components(
 
     Two rows link when 100 * intersection >= ``percent`` * union of their sets of ``words``
     successive words (hashes of 64 bits). Equal sets are one node, so copies are never
-    paired. Neighbours in the lists of first n-grams are compared first; then all candidate
-    pairs that are not in one component yet, lists of more than ``block`` sets as blocks
-    against blocks. No list, pair or n-gram is capped or dropped: ``part``, ``limit``,
+    paired. Neighbours in the lists of first n-grams are compared first; then, of the candidate
+    pairs that are not in one component yet, one of any two components, and at last all whose
+    components are still apart; lists of more than ``block`` sets as blocks against blocks. No list, pair or n-gram is capped or dropped: ``part``, ``limit``,
     ``cuts``, ``block`` and ``width`` only decide how much is compared where.
 
     Words are runs of bytes other than blanks, A-Z lower-cased. A text with fewer words than
@@ -246,12 +246,18 @@ def jaccard_components(
     )
     links = stored(linked(near, pieces, percent), "links")
     roots = components(links)
+    release(links)
     rest = stored(_apart(firsts, roots, percent, block), "rest")
-    if not rest.isEmpty():
-        more = stored(linked(rest, pieces, percent), "links")
-        old, roots = roots, components(links.unionAll(more))
-        release(old, more)
-    release(links, rest, ordered)
+    for all_pairs in (False, True):
+        if rest.isEmpty():
+            break
+        # one pair of two components at first: where it links, no other pair between them matters
+        tried = stored(rest.select("a", "b") if all_pairs else _one_each(rest), "tried")
+        links = stored(linked(tried, pieces, percent), "links")
+        merged, left = _merged(roots, rest, tried, links)
+        release(roots, rest, tried, links)
+        roots, rest = merged, left
+    release(rest, ordered)
     named = signed.join(roots, "node", "left").withColumn("root", F.when(
         (F.col("n") > 0) & F.col("doc_id").isNotNull(), F.coalesce("root", "node")
     ))
@@ -262,7 +268,7 @@ def jaccard_components(
 
 
 def _apart(firsts: DataFrame, roots: DataFrame, percent: int, block: int) -> DataFrame:
-    """All pairs ``a, b`` of different components that share one of their first n-grams and can reach the threshold."""
+    """All pairs ``a, b`` that share one of their first n-grams and can reach the threshold, with their different components ``ra, rb``."""
     posts = firsts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = posts.groupBy("token").agg(
         F.min("root").alias("one"), F.max("root").alias("other"), F.ceil(F.count("*") / block).cast("int").alias("cuts")
@@ -275,7 +281,27 @@ def _apart(firsts: DataFrame, roots: DataFrame, percent: int, block: int) -> Dat
         *(F.col(p).alias(f"{x}{p}") for p in PARITY),
     )
     pairs = side("a", "i", "j").join(side("b", "j", "i"), ["token", "i", "j"])
-    return pairs.filter("a < b and ra <> rb").filter(_may_link(percent)).select("a", "b").distinct()
+    return pairs.filter("a < b and ra <> rb").filter(_may_link(percent)).select("a", "b", "ra", "rb").distinct()
+
+
+def _one_each(rest: DataFrame) -> DataFrame:
+    """The smallest pair ``a, b`` of any two components."""
+    two = F.least("ra", "rb").alias("low"), F.greatest("ra", "rb").alias("high")
+    return rest.groupBy(*two).agg(F.min(F.struct("a", "b")).alias("pair")).select("pair.a", "pair.b")
+
+
+def _merged(roots: DataFrame, rest: DataFrame, tried: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Roots after ``links`` between components, and the pairs not ``tried`` whose components are still apart."""
+    over = components(rest.join(links, ["a", "b"], "left_semi").select(F.col("ra").alias("a"), F.col("rb").alias("b")))
+    top = lambda x: over.select(F.col("node").alias(x), F.col("root").alias(f"top_{x}"))
+    moved = roots.join(top("root"), "root", "left").select("node", F.coalesce("top_root", "root").alias("root"))
+    merged = stored(moved.unionAll(over.select("node", "root")), "roots")
+    left = rest.join(tried, ["a", "b"], "left_anti").join(top("ra"), "ra", "left").join(top("rb"), "rb", "left").select(
+        "a", "b", F.coalesce("top_ra", "ra").alias("ra"), F.coalesce("top_rb", "rb").alias("rb")
+    )
+    left = stored(left.filter("ra <> rb"), "rest")
+    release(over)
+    return merged, left
 
 
 ORACLE = r"""

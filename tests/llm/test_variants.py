@@ -214,3 +214,21 @@ def test_spelling_of_crowded_words(spark, block, rows):
     assert told["é"][0] == 0
     got = spelling.spelling_groups(frame.filter("length(word) > 1"), block=block).collect()
     assert order(map(tuple, got)) == order(brute_groups({w: n for w, n in words.items() if len(w) > 1}))
+
+
+def test_near_copies_are_not_compared_in_all_pairs(spark, monkeypatch):
+    from recordlens.llm import jaccard_join
+
+    compared = []
+
+    def counted(pairs, pieces, percent, real=jaccard_join.linked):
+        compared.append(pairs.count())
+        return real(pairs, pieces, percent)
+
+    monkeypatch.setattr(jaccard_join, "linked", counted)
+    words = [f"w{i}" for i in range(400)]
+    rows = [(d, " ".join(words[: 2 * d] + [f"own{d}"] + words[2 * d + 1 :])) for d in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = jaccard_join.jaccard_components(docs, width=1).collect()
+    assert {r.component_id for r in got} == {0} and len(got) == 120
+    assert sum(compared) < 120 * 119 / 2 / 4

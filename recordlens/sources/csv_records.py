@@ -124,13 +124,17 @@ def _decoded(text: Column) -> Column:
     return F.when(F.col("utf8"), text).otherwise(F.decode(text.cast("binary"), "ISO-8859-1"))
 
 
-def read_records(lines: DataFrame, columns: list[str] | None = None, required: bool = True) -> DataFrame:
+def read_records(
+    lines: DataFrame, columns: list[str] | None = None, required: bool = True,
+    of_file: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """``source_path, row_no`` and the columns of all records of files with a header line, as trimmed text.
 
     ``row_no`` numbers the records 1, 2, ... over all files, by path and place. Columns are
     those named, or all that any file has; they meet by name, a file that lacks one gives
     NULL, absent values are empty. Files may differ in charset and header. The header is the
-    first line that is not blank. No line at all is an error if rows are ``required``. Lines are shuffled once, by block; records of several lines
+    first line that is not blank. ``of_file`` adds columns to the files (``source_path``), found
+    once per file; files that it leaves out give no records, but count in ``row_no``. No line at all is an error if rows are ``required``. Lines are shuffled once, by block; records of several lines
     once more.
     """
     spark = lines.sparkSession
@@ -154,8 +158,15 @@ def read_records(lines: DataFrame, columns: list[str] | None = None, required: b
         names = heads.distinct().withColumn("row", cells(F.col("head"))).select(F.explode(as_list("row")).alias("name"))
         columns = sorted(r[0] for r in names.select(strip(F.col("name")).alias("name")).filter("name <> ''").distinct().collect())
 
-    where = blocks.join(bases, "path").select(
-        F.col("path").alias("at_path"), F.col("start").alias("at_start"), "entry", "before", "base", "utf8", "head"
+    # where the columns stand is found once per file, not per record
+    named = F.transform(as_list("row"), strip)
+    placed_heads = files.withColumn("row", cells(F.regexp_replace(_decoded(F.col("head")), "^﻿", ""))).withColumn("names", named)
+    places = F.array(*(F.array_position("names", F.lit(c)).cast("int") for c in columns)).alias("places")
+    facts = placed_heads.select(F.col("path").alias("source_path"), places)
+    facts = of_file(facts) if of_file else facts
+    more = [c for c in facts.columns if c not in ("source_path", "places")]
+    where = blocks.join(bases, "path").join(facts.withColumnRenamed("source_path", "path"), "path").select(
+        F.col("path").alias("at_path"), F.col("start").alias("at_start"), "entry", "before", "base", "utf8", "places", *more
     )
     placed = mapped.join(where, (F.col("path") == F.col("at_path")) & (F.col("start") == F.col("at_start")))
     block = Window.partitionBy("path", "start").orderBy("n")
@@ -167,19 +178,22 @@ def read_records(lines: DataFrame, columns: list[str] | None = None, required: b
         "record": F.col("before") + F.sum(ends).over(block) - ends,
     })
     text = _decoded(F.col("line"))
-    keep = ["path", "record", "base", "head", "utf8"]
+    keep = ["path", "record", "base", "utf8", "places", *more]
     single = placed.filter("not inside and not open and not blank").select(*keep, text.alias("text"))
     pieces = placed.filter("inside or open").groupBy(*keep).agg(
         F.array_sort(F.collect_list(F.struct("start", "n", text.alias("line")))).alias("lines")
     )
     several = pieces.select(*keep, F.array_join("lines.line", "\n").alias("text"))
     records = single.unionAll(several).filter("record > 0")
+    # a record without a quote is what stands between its commas; the CSV parser takes the others
+    hard = F.contains(F.col("text"), F.lit('"')) | F.startswith(F.col("text"), F.lit("\0"))
     parsed = records.select(
-        "path", (F.col("base") + F.col("record")).alias("row_no"), cells(F.col("text")).alias("row"),
-        cells(F.regexp_replace(_decoded(F.col("head")), "^﻿", "")).alias("names"),
-    ).select("path", "row_no", as_list("row").alias("cells"), F.transform(as_list("names"), strip).alias("names"))
-    place = lambda name: F.array_position("names", F.lit(name)).cast("int")
+        "path", (F.col("base") + F.col("record")).alias("row_no"), "text", "places", hard.alias("hard"),
+        cells(F.when(hard, F.col("text"))).alias("row"), *more,
+    ).select("path", "row_no", "places", *more, F.when(F.col("hard"), as_list("row")).otherwise(F.split("text", ",")).alias("cells"))
+    at = lambda i: F.get("places", F.lit(i))
     return parsed.select(
         F.col("path").alias("source_path"), "row_no",
-        *(F.when(place(c) > 0, strip(F.get("cells", place(c) - 1))).alias(c) for c in columns),
+        *(F.when(at(i) > 0, strip(F.coalesce(F.get("cells", at(i) - 1), F.lit("")))).alias(c) for i, c in enumerate(columns)),
+        *more,
     )

@@ -48,7 +48,7 @@ def file_key(path: Column) -> Column:
 
 
 def dated_exports(rows: DataFrame, year: int) -> DataFrame:
-    """Rows of daily files with ``source_file`` and the ``run_date`` of its name; files without a date are left out."""
+    """Rows or names of daily files with ``source_file`` and the ``run_date`` of its name; those without a date are left out."""
     named = rows.withColumn("source_file", file_key(F.col("source_path")))
     named = named.withColumn("run_date", daily_file_date(F.col("source_file"), year))
     return named.filter(F.col("run_date").isNotNull())
@@ -76,12 +76,12 @@ def read_exports(
     elif month:
         path = f"{root}/{month}"
     daily = lambda p: file_key(p).endswith(name + K.DAILY_FILE_SUFFIX)
-    return dated_exports(_filled(read_records(read_lines(spark, [path], only=daily), EXPORT_HEADS)), year)
+    return _filled(read_records(read_lines(spark, [path], only=daily), EXPORT_HEADS, of_file=lambda f: dated_exports(f, year)))
 
 
 def read_split_exports(spark: SparkSession, root: str, year: int) -> DataFrame:
     """Exports written by ``sinks.split_by_day``, with all their columns."""
-    return dated_exports(read_csv_files(spark, [root]), year)
+    return read_records(read_lines(spark, [root]), of_file=lambda f: dated_exports(f, year))
 
 
 def stream_exports(spark: SparkSession, root: str) -> DataFrame:
@@ -95,7 +95,7 @@ def stream_exports(spark: SparkSession, root: str) -> DataFrame:
 def exports_of_batch(batch: DataFrame, year: int) -> DataFrame:
     """Rows of a micro-batch of ``stream_exports``. A micro-batch has whole files."""
     named = as_lines(batch).filter(file_key(F.col("path")).endswith(K.DAILY_FILE_SUFFIX))
-    return dated_exports(_filled(read_records(named, EXPORT_HEADS, required=False)), year)
+    return _filled(read_records(named, EXPORT_HEADS, required=False, of_file=lambda f: dated_exports(f, year)))
 
 
 def read_inputs(spark: SparkSession, paths: list[str], glob: str | None = None) -> DataFrame:

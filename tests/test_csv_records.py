@@ -83,3 +83,17 @@ def test_no_rows_is_an_error_or_empty(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         files.read_csv_files(spark, [str(tmp_path)])
     assert read_records(read_lines(spark, [str(tmp_path)]), ["x"], required=False).count() == 0
+
+
+def test_columns_of_a_file_are_found_once_per_file(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y\n1\n2,3,4\n")
+    (tmp_path / "b.csv").write_text('y,x\n\t5 ,"6,""7"""\n,8\n')
+    named = lambda files: files.withColumn("file", F.substring_index("source_path", "/", -1))
+    lines = read_lines(spark, [str(tmp_path)])
+    rows = read_records(lines, ["x", "y", "z"], of_file=named).orderBy("row_no")
+    assert [(r.row_no, r.file, r.x, r.y, r.z) for r in rows.collect()] == [
+        (1, "a.csv", "1", "", None), (2, "a.csv", "2", "3", None),
+        (3, "b.csv", '6,"7"', "5", None), (4, "b.csv", "8", "", None),
+    ]
+    only = read_records(lines, ["x"], of_file=lambda f: named(f).filter("file = 'b.csv'"))
+    assert sorted(r.row_no for r in only.collect()) == [3, 4]

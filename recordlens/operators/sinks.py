@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from recordlens.constants import DAILY_FILE_SUFFIX
 from recordlens.schemas import TABLES
+from recordlens.session import work_dir
 
 
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -29,6 +30,17 @@ def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def written_once(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a new folder that all executors reach, and read from there.
+
+    A frame that is used several times is planned and computed for every use, as each
+    use prunes other columns and shares no exchange with the others.
+    """
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def missing_rows(batch: DataFrame, stored: DataFrame | None, keys: list[str]) -> DataFrame:
     """Rows of the batch whose key is not stored; NULL key parts are equal."""
     if stored is None:

@@ -89,3 +89,10 @@ def test_match_is_not_planned_for_every_use(spark, sf_dir, plan_of):
     i = entry.Inputs(spark, sf_dir)
     scans = [plan_of(frame).count("FileScan") for frame in (i.scores(), i.matched())]
     assert scans[0] <= 2 * scans[1] + 3  # beside two matches: people, regions and payloads
+
+
+def test_coverage_and_gaps_plan_no_match_of_their_own(spark, sf_dir, plan_of):
+    jobs = entry.queries()
+    for name in ("audit_people_coverage", "audit_location_coverage", "audit_gap_summary"):
+        plan = plan_of(jobs[name](spark, sf_dir))
+        assert "/match-" in plan and "events.parquet" not in plan, name  # the trials' table was read before

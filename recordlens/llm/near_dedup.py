@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from recordlens.llm.common import components, reach_package, release, stored
+from recordlens.llm.common import components, give_back, reach_package, release, stored
 from recordlens.llm.suffix_dedup import _powers
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -94,6 +94,8 @@ def _sets(batches, words: int, rows: int = 256, size: int = 1_000_000):
                 used += len(texts[-1])
                 at += 1
             yield batch.column(0)[first:at].to_pylist(), shingle_sets(texts, words)
+    batch = cell = texts = None
+    give_back()
 
 
 def _neighbours(width: int):

@@ -123,6 +123,7 @@ def pack(
             yield rows(group, base)[0]
         if not keep:
             forget(tokenizer)
+            enc = block = ids = group = None  # what is still named here would not be freed
             give_back()
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, SCHEMA)

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from recordlens.llm.common import reach_package
+from recordlens.llm.common import give_back, reach_package
 
 _SIGNS = np.zeros(256, np.int64)  # 0 other, 1 upper case, 2 digit, 3 blank, 4 punctuation of prose, 5 any other sign
 for _chars, _k in (("ABCDEFGHIJKLMNOPQRSTUVWXYZ", 1), ("0123456789", 2), (" \t\n\r\f\x0b", 3), (".,;:'\"-?()", 4)):
@@ -143,6 +143,8 @@ def _gather(rows: DataFrame, place: dict[str, int], labels: list[str]):
             x = [text_features(t, place).tobytes() for t in f["text"]]
             m = [meta_features(*r).tobytes() for r in zip(f["lang"], f["source"], f["n_chars"].fillna(0))]
             yield pd.DataFrame({"x": x, "m": m, **{c: f[c] for c in labels}})
+        f = x = m = None
+        give_back()
 
     schema = "x binary, m binary, " + ", ".join(f"{c} double" for c in labels)
     cells = rows.select("text", "lang", "source", "n_chars", *(F.col(c).cast("double") for c in labels))
@@ -166,6 +168,8 @@ def _confident(rows: DataFrame, model: Model, most: int, sure: float) -> DataFra
                     at = np.flatnonzero(q >= sure)
                     at = at[np.lexsort((ids[at], -q[at]))[:most]]  # ties by id, as below: batches do not matter
                     yield pd.DataFrame({"doc_id": ids[at], "view": view, "guess": guess, "q": q[at]})
+        f = None
+        give_back()
 
     found = rows.filter("doc_id is not null").mapInPandas(run, "doc_id long, view string, guess int, q double")
     order = Window.partitionBy("view", "guess").orderBy(F.desc("q"), "doc_id")

@@ -498,7 +498,7 @@ class Transducer:
 
 _MADE: dict[str, Transducer] = {}
 # states of a sample and of a worker that begins with it; such workers stand beside those of other stages
-SAMPLE_STATES, SHARED_STATES = 80_000, 110_000
+SAMPLE_STATES, SHARED_STATES = 60_000, 80_000
 
 
 def learned(docs, tokenizer: str, text_col: str = "text", rows: int = 1500, size: int = 4_000_000):
@@ -561,11 +561,13 @@ def in_blocks(batches, rows: int = 512, chars: int = 1_000_000):
     """``(id, text)`` pairs of Arrow batches in lists of bounded size; null texts are empty."""
     block, size = [], 0
     for batch in batches:
-        for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            block.append((i, text or ""))
-            size += len(block[-1][1])
-            if len(block) >= rows or size >= chars:
-                yield block
-                block, size = [], 0
+        for at in range(0, batch.num_rows, rows):  # a whole batch as Python texts would stand beside the table
+            part = batch.slice(at, rows)
+            for i, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                block.append((i, text or ""))
+                size += len(block[-1][1])
+                if len(block) >= rows or size >= chars:
+                    yield block
+                    block, size = [], 0
     if block:
         yield block

@@ -221,11 +221,12 @@ def write(
 def open_store(spark: SparkSession, path: str) -> DataFrame:
     """Blocks of a store with ``base``: the number of ids in all shards before."""
     blocks = spark.read.schema(BLOCKS).parquet(path)
-    # one row per shard (a file), so the running sum over shards is small
+    # one row per shard (a file), so the running sum over shards is small; broadcast, as the
+    # matrices would be shuffled before Spark has seen how small it is
     sums = blocks.groupBy("shard").agg(F.sum("n_ids").alias("ids"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     base = sums.select("shard", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("base"))
-    return blocks.join(base, "shard")
+    return blocks.join(F.broadcast(base), "shard")
 
 
 def _per_block(blocks: DataFrame, work, schema: str) -> DataFrame:

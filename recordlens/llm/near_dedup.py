@@ -297,7 +297,9 @@ def near_duplicates(
     links = stored(confirm(first, sets), "links")
     found = [links]
     roots = components(links)
-    left = stored(confirm(_apart(pairs, roots), sets), "links")
+    # pairs that are in one component stay so: each round goes on from those the one before has left
+    apart = stored(_apart(pairs, roots), "apart")
+    left = stored(confirm(apart.select("a", "b"), sets), "links")
     # the text that others were copied from has the label that is most common among them, in every tree
     order = Window.partitionBy("root").orderBy(F.desc("crowd"), "node")
     while True:
@@ -312,19 +314,20 @@ def near_duplicates(
             whole.join(weight, "node", "left").na.fill(0, ["crowd"]).join(large, "root").withColumn("place", F.row_number().over(order))
             .filter(F.col("place") <= hubs).select("root", F.col("node").alias("hub"))
         )
-        apart = _apart(pairs, roots, keep_roots=True)
+        old, apart = apart, stored(_apart(apart.select("a", "b"), roots), "apart")
+        release(old)
         beside = apart.select(F.col("a").alias("x"), F.col("rb").alias("root")).unionAll(apart.select("b", "ra")).distinct()
         asked = beside.join(top, "root").select(F.least("x", "hub").alias("a"), F.greatest("x", "hub").alias("b")).distinct()
         left = stored(confirm(asked, sets), "links")
         if left.isEmpty():
             break
-    release(left, forest, sets)
+    release(left, forest, sets, apart)
     rest = prefix_pairs(texts.filter("doc_id is not null"), nodes, roots, words, block)
     if not rest.isEmpty():
         sets = sets_of(rest.select(F.col("a").alias("doc_id")).unionAll(rest.select("b")).distinct())
         # first one pair a node, which joins most of what is left; then all pairs still apart
         one = rest.groupBy("a").agg(F.min("b").alias("b"))
-        for asked in (lambda: one, lambda: _apart(rest, roots)):
+        for asked in (lambda: one, lambda: _apart(rest, roots).select("a", "b")):
             left = stored(confirm(asked(), sets), "links")
             found.append(left)
             if not left.isEmpty():
@@ -347,13 +350,12 @@ def near_duplicates(
     )
 
 
-def _apart(pairs: DataFrame, roots: DataFrame, keep_roots: bool = False) -> DataFrame:
-    """Pairs whose nodes are in different components."""
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs whose nodes are in different components, and those (``ra``, ``rb``)."""
     ra, rb = roots.toDF("a", "ra"), roots.toDF("b", "rb")
-    out = pairs.join(ra, "a", "left").join(rb, "b", "left").select(
+    return pairs.join(ra, "a", "left").join(rb, "b", "left").select(
         "a", "b", F.coalesce("ra", "a").alias("ra"), F.coalesce("rb", "b").alias("rb")
     ).filter("ra <> rb")
-    return out if keep_roots else out.select("a", "b")
 
 
 ORACLE = r"""

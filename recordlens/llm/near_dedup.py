@@ -65,8 +65,19 @@ def signature(shingles: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     return (least >> np.uint64(32)).astype(np.uint32)
 
 
+def parity(shingles: np.ndarray) -> np.ndarray:
+    """Whether each residue of the hashes stands for an odd number of the set's shingles, 64 bits a number.
+
+    The modulus is the power of two from twice the set's size on, at least 512. The two
+    halves combine by XOR to the parities for half the modulus.
+    """
+    bits = max(512, 1 << (2 * len(shingles) - 1).bit_length()) if len(shingles) else 512
+    odd = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").view(np.int64)
+
+
 def _sign(words: int, trees: int, seed: int):
-    """Set size, a 128-bit name of the set, and the forest labels (8 values of 16 bits per tree)."""
+    """Set size, a 128-bit name of the set, the forest labels (8 values of 16 bits per tree) and the parities."""
 
     def run(batches):
         rng = np.random.default_rng(seed)
@@ -75,8 +86,11 @@ def _sign(words: int, trees: int, seed: int):
             names = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
             labels = [(signature(s, seeds) >> np.uint32(16)).astype(">u2").tobytes() for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(names), pa.array(labels)],
-                names=["doc_id", "n", "name", "labels"],
+                [
+                    pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(names), pa.array(labels),
+                    pa.array([parity(s) for s in sets], pa.list_(pa.int64())),
+                ],
+                names=["doc_id", "n", "name", "labels", "parity"],
             )
 
     return run
@@ -153,6 +167,23 @@ def forest_pairs(nodes: DataFrame, trees: int, width: int, partitions: int) -> D
     return near.groupBy("a", "b").agg(F.count("*").alias("votes"), F.sum("crowd").alias("crowd")).filter("votes > 1 or a = b")
 
 
+def can_link(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs without those whose parities show that their similarity is below 0.8.
+
+    A shingle of one set only turns one parity, so the sets differ in at least as many
+    shingles as parities. Linked sets differ in a ninth of both sizes at most. No link is lost.
+    """
+    side = nodes.select("node", "n", "parity")
+    both = pairs.join(side.toDF("a", "na", "pa"), "a").join(side.toDF("b", "nb", "pb"), "b")
+
+    def cut(p, other):  # sizes are at most a quarter apart, so one modulus is the other or its double
+        half = f"zip_with(slice({p}, 1, size({p}) div 2), slice({p}, size({p}) div 2 + 1, size({p}) div 2), (x, y) -> x ^ y)"
+        return f"if(size({p}) > size({other}), {half}, {p})"
+
+    differ = f"aggregate(zip_with({cut('pa', 'pb')}, {cut('pb', 'pa')}, (x, y) -> bit_count(x ^ y)), 0, (x, y) -> x + y)"
+    return both.filter("5 * least(na, nb) >= 4 * greatest(na, nb)").filter(f"9 * {differ} <= na + nb").select(*pairs.columns)
+
+
 def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs ``a, b`` whose sets have 100 * intersection >= 80 * union."""
     left, right = sets.toDF("a", "set_a"), sets.toDF("b", "set_b")
@@ -266,15 +297,18 @@ def near_duplicates(
     reach_package(spark)
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    schema = "doc_id long, n long, name binary, labels binary"
+    schema = "doc_id long, n long, name binary, labels binary, parity array<long>"
     signed = stored(texts.mapInArrow(_sign(words, trees, seed), schema), "signed")
     known = signed.filter("n > 0 and doc_id is not null")
     nodes = stored(
-        known.groupBy("name").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("labels").alias("labels")),
+        known.groupBy("name").agg(
+            F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("labels").alias("labels"), F.first("parity").alias("parity")
+        ),
         "nodes",
     )
     forest = stored(forest_pairs(nodes, trees, width, partitions), "forest")
-    pairs, weight = forest.filter("a <> b").drop("crowd"), forest.filter("a = b").select(F.col("a").alias("node"), "crowd")
+    weight = forest.filter("a = b").select(F.col("a").alias("node"), "crowd")
+    pairs = stored(can_link(forest.filter("a <> b").drop("crowd"), nodes), "pairs")
     members = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select("b")).distinct()
     set_schema = "node long, shingles array<long>"
 
@@ -286,11 +320,11 @@ def near_duplicates(
             )
 
     def sets_of(members):
-        # the list of members outgrows any broadcast: plan for that at every size
-        rows = texts.join(members.hint("merge"), "doc_id").select("doc_id", "text")
+        rows = texts.join(members, "doc_id").select("doc_id", "text")
         return stored(rows.mapInArrow(full, set_schema), "sets")
 
-    sets = sets_of(members)
+    # the list of members outgrows any broadcast: plan for that at every size
+    sets = sets_of(members.hint("merge"))
     ends = pairs.select("a", "b", "votes", F.inline(F.array(F.struct(F.col("a").alias("x")), F.struct(F.col("b").alias("x")))))
     best = Window.partitionBy("x").orderBy(F.desc("votes"), "a", "b")
     first = ends.withColumn("place", F.row_number().over(best)).filter("place = 1").select("a", "b").distinct()
@@ -318,11 +352,15 @@ def near_duplicates(
         release(old)
         beside = apart.select(F.col("a").alias("x"), F.col("rb").alias("root")).unionAll(apart.select("b", "ra")).distinct()
         asked = beside.join(top, "root").select(F.least("x", "hub").alias("a"), F.greatest("x", "hub").alias("b")).distinct()
-        left = stored(confirm(asked, sets), "links")
+        left = stored(confirm(can_link(asked, nodes), sets), "links")
         if left.isEmpty():
             break
-    release(left, forest, sets, apart)
+    release(left, forest, sets, pairs, apart)
     rest = prefix_pairs(texts.filter("doc_id is not null"), nodes, roots, words, block)
+    # whole sets are shuffled, so only for pairs that can be links
+    near = stored(can_link(rest, nodes), "near")
+    release(rest)
+    rest = near
     if not rest.isEmpty():
         sets = sets_of(rest.select(F.col("a").alias("doc_id")).unionAll(rest.select("b")).distinct())
         # first one pair a node, which joins most of what is left; then all pairs still apart

@@ -12,6 +12,8 @@ in parallel lanes, one chunk of a text per lane (see ``Transducer.run``).
 from __future__ import annotations
 
 import bisect
+import functools
+import itertools
 import json
 import os
 import pickle
@@ -27,6 +29,7 @@ import xxhash
 CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
 _BLANKS = frozenset("\t\n\x0b\x0c\r ")
 _ODD_BLANKS = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_HIGH = re.compile("[\U00010000-\U0010ffff]")
 _RARE = 0
 
 
@@ -39,6 +42,78 @@ def _byte_names() -> list[str]:
     return [names[b] for b in range(256)]
 
 
+@functools.cache
+def _pieces(top: int) -> re.Pattern:
+    """The library's word pattern with the classes of its characters spelled out, for texts of characters below ``top``.
+
+    Classes of the plane that a text stays in are a table look-up; beyond it they are a search in ranges.
+    """
+    blank = "\\t\\n\\x0b\\x0c\\r "
+
+    def chars(major):
+        held = [c for c in range(top) if unicodedata.category(chr(c))[0] == major]
+        cuts = [i for i in range(1, len(held)) if held[i] != held[i - 1] + 1]
+        runs = zip([0, *cuts], [*cuts, len(held)])
+        return "".join(f"\\U{held[a]:08x}-\\U{held[b - 1]:08x}" for a, b in runs)
+
+    letter, digit = chars("L"), chars("N")
+    return re.compile(
+        f"'(?:[stmd]|re|ve|ll)| ?[{letter}]+| ?[{digit}]+| ?[^{blank}{letter}{digit}]+|[{blank}]+(?![^{blank}])|[{blank}]+"
+    )
+
+
+class Pieces(dict):
+    """The number of each piece met lately, and the ids that the library's model gives for it.
+
+    Pieces are kept in two generations of at most ``most``: when one is full it
+    replaces the older one, and those that are met again come over.
+    """
+
+    def __init__(self, model, name: dict, most: int = 300_000, longest: int = 64):
+        super().__init__()
+        self.model, self.name, self.most, self.longest = model, name, most, longest
+        self.older: tuple[dict, array, list] = ({}, array("I"), [0])
+        self._empty()
+
+    def kept(self) -> tuple[dict, array, list]:
+        """Numbers, ids of all, and where those of each number begin."""
+        return dict(self), self.ids, [0, *np.cumsum(self.sizes, dtype=np.int64).tolist()]
+
+    def _bpe(self, piece: str) -> list[int]:
+        plain = piece.isascii() and piece.isprintable()  # these bytes, but for the blank, are named by themselves
+        named = piece.replace(" ", self.name[32]) if plain else piece.encode().decode("latin1").translate(self.name)
+        return [t.id for t in self.model.tokenize(named)]
+
+    def _empty(self) -> None:
+        self.clear()
+        self.ids, self.sizes = array("I"), array("q")
+
+    def __missing__(self, piece: str) -> int:
+        numbers, ids, lows = self.older
+        at = numbers.get(piece)
+        got = self._bpe(piece) if at is None else ids[lows[at] : lows[at + 1]]
+        self.ids.extend(got)
+        self.sizes.append(len(got))
+        number = len(self.sizes) - 1
+        if len(piece) <= self.longest:
+            self[piece] = number
+        return number
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        if len(self.sizes) >= self.most:
+            self.older = self.kept()
+            self._empty()
+        found = [_pieces(128 if t.isascii() else 0x110000 if _HIGH.search(t) else 0x10000).findall(t) for t in texts]
+        numbers = np.fromiter(map(self.__getitem__, itertools.chain.from_iterable(found)), np.int64, sum(map(len, found)))
+        size = np.array(self.sizes, np.int64)
+        low = np.cumsum(size) - size
+        n = size[numbers]
+        ends = np.cumsum(n)
+        ids = np.array(self.ids, "<u4")[np.repeat(low[numbers] - ends + n, n) + np.arange(n.sum())]
+        cuts = np.concatenate([[0], ends])[np.cumsum([len(f) for f in found])[:-1]] if texts else []
+        return np.split(ids, cuts) if texts else []
+
+
 class _State:
     """``rep``: bytes of the open pretoken as first met; ``last``/``upto``: last token and count after each byte."""
 
@@ -97,6 +172,7 @@ class Transducer:
         self.max_states, self.max_symbols = max_states, max_symbols
         self.classes: dict[str, str] = {}
         self.base: dict | None = None
+        self.pieces = Pieces(self.library.model, self.name)
         self._reset()
 
     # ---- compilation
@@ -138,11 +214,13 @@ class Transducer:
             "digests": b"".join(digests), "chars": list(self.chars), "rows": at[0].astype(np.int32),
             "symbols": at[1].astype(np.int16), "steps": self.table[at],
             "tops": self.tops[: len(every)].copy(), "flags": self.flags[: len(every)].copy(),
+            "pieces": self.pieces.kept(),
         }
 
     def restore(self, base: dict) -> None:
         """Starts from a ``snapshot`` of a transducer of the same file, also when the states are dropped."""
         self.base = base
+        self.pieces.older = base["pieces"]
         self._reset()
 
     def _load(self, base: dict) -> None:
@@ -438,63 +516,15 @@ class Transducer:
         return [next(got if f else other) for f in fits]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of texts: from the end of a text, each state names the token that ends there."""
+        """Ids of texts: pieces by the word pattern, each new one encoded by the library's model and kept."""
         if not self.compiled:
             return [np.array(e.ids, "<u4") for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
         fits = [self.plain(t) for t in texts]
-        mine = [t for t, f in zip(texts, fits) if f]
-        counts, codes, trace = self.run(mine, traced=True)
-        got = iter(np.split(self._ids(mine, codes, trace), np.cumsum(counts)[:-1]) if mine else [])
+        got = iter(self.pieces.encode([t for t, f in zip(texts, fits) if f]))
         rest = [t for t, f in zip(texts, fits) if not f]
         other = iter(self.library.encode_batch_fast(rest, add_special_tokens=False))
         return [next(got) if f else np.array(next(other).ids, "<u4") for f in fits]
 
-    def _ids(self, texts, codes, trace) -> np.ndarray:
-        n = len(codes)
-        if not n:
-            return np.zeros(0, "<u4")
-        lengths = np.array([len(t) for t in texts], np.int64)
-        stop = np.cumsum(lengths)
-        # walks begin at each text's end and before each blank that follows a visible character
-        blank = (codes == 32) | ((codes >= 9) & (codes <= 13))
-        begins = blank.copy()
-        begins[1:] &= ~blank[:-1]
-        first = (stop - lengths)[lengths > 0]
-        begins[first] = True
-        low = np.flatnonzero(begins)
-        pos = np.append(low[1:], n) - 1
-        k = np.zeros(len(pos), np.int8)
-        floor = low
-        dense = np.full(n, -1, np.int32)
-        odd_keys, odd_ids = [], []
-        while len(pos):
-            state = trace[pos]
-            flat = state.astype(np.int64) * 5 + k
-            token, flag = self.tops.reshape(-1)[flat], self.flags.reshape(-1)[flat]
-            even = k == 0
-            if even.all():
-                dense[pos] = token
-            else:
-                dense[pos[even]] = token[even]
-                odd = ~even
-                # a lone blank (4) ends where its character ends
-                odd_keys.append(pos[odd] * 4 + 3 - (k[odd] & 3))
-                odd_ids.append(token[odd])
-            lone = k == 4
-            lead = self.lead[token]
-            back = np.where(lone, 1, lead)
-            k = np.where(lone, 0, np.where(lead > 0, self.cont[token], k + self.length[token])).astype(np.int8)
-            k[flag] = 4
-            pos = pos - back
-            more = (pos >= floor) 
-            pos, k, floor = pos[more], k[more], floor[more]
-        at = np.flatnonzero(dense >= 0)
-        ids = dense[at]
-        if odd_keys:
-            keys = np.concatenate([at * 4 + 3, *odd_keys])
-            ids = np.concatenate([ids, *odd_ids])[np.argsort(keys, kind="stable")]
-        return ids.astype("<u4")
-
 
 _MADE: dict[str, Transducer] = {}
 # states of a sample and of a worker that begins with it; such workers stand beside those of other stages
@@ -530,6 +560,7 @@ def learned(docs, tokenizer: str, text_col: str = "text", rows: int = 1500, size
                     break
                 part = texts[at : at + 256]
                 machine.run(part)
+                machine.pieces.encode(part)
                 count, total = count + len(part), total + sum(map(len, part))
         if machine is not None:
             found = pickle.dumps(machine.snapshot()) if machine.compiled else None

@@ -204,13 +204,22 @@ def _usual(words: int):
     return run
 
 
-def _prefixes(words: int, usual):
-    """Ids, set sizes and the shingles of which two sets share one if their similarity is 0.8.
-
-    Each set is ordered by how usual its shingles are (the list ``usual`` last, by rank),
-    then by hash. Two such sets share 80 % of either, so the first shared one is among
-    the first 20 % and one of both.
+def _couples(shingles: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Names of the first couples of a set: a shingle and the next one, by rank and then by hash.
+
+    A couple of a set ``a`` is no couple of ``b`` if its first shingle is not in ``b`` or if a shingle of
+    one set only stands between. With ``c`` shingles in common at most 2 * (na - c) + (nb - c) couples are
+    lost; a similarity of 0.8 needs 9 * c >= 4 * (na + nb), so a third of na + nb remains, which is 60 %
+    of either: the first couple in common is among the first 40 % and one of both. The last
+    shingle is a couple by itself.
     """
+    order = shingles[np.argsort(rank, kind="stable")]
+    n = len(order) - -(-3 * len(order) // 5) + 1
+    return _mix(order[:n] * np.uint64(0x9E3779B97F4A7C15) + np.append(order, np.uint64(0))[1 : n + 1]).view(np.int64)
+
+
+def _prefixes(words: int, usual):
+    """Ids, set sizes and the first couples of each set, its usual shingles (the list ``usual``) last."""
 
     def run(batches):
         tokens, ranks = usual.value
@@ -222,7 +231,7 @@ def _prefixes(words: int, usual):
                 if len(tokens):
                     at = np.minimum(np.searchsorted(tokens, s), len(tokens) - 1)
                     rank = np.where(tokens[at] == s, ranks[at], 0)
-                heads.append(s[np.argsort(rank, kind="stable")[: len(s) - -(-4 * len(s) // 5) + 1]].view(np.int64))
+                heads.append(_couples(s, rank))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([i for i, _ in rows], pa.int64()), pa.array([len(s) for _, s in rows], pa.int64()), pa.array(heads, pa.list_(pa.int64()))],
                 names=["node", "n", "tokens"],
@@ -231,38 +240,51 @@ def _prefixes(words: int, usual):
     return run
 
 
+def _listed(counts: DataFrame, most: int):
+    """The most frequent tokens as two arrays, by token: all from a count on, so that there are ``most`` of them or less."""
+    sizes = counts.groupBy("count").agg(F.count("*").alias("n")).orderBy(F.desc("count")).collect()  # a row for each count
+    total, least = 0, None
+    for r in sizes:
+        total += r["n"]
+        if total > most:
+            break
+        least = r["count"]
+    top = counts.filter(F.col("count") >= least if least else F.lit(False)).toPandas()  # ``most`` rows at most
+    tokens = top["token"].to_numpy(np.int64).view(np.uint64)
+    by_hash = np.argsort(tokens)
+    return tokens[by_hash], top["count"].to_numpy(np.int64)[by_hash]
+
+
 def prefix_pairs(texts: DataFrame, nodes: DataFrame, roots: DataFrame, words: int, block: int, listed: int = 300_000) -> DataFrame:
     """``a, b`` of different components: all pairs that can have a similarity of 0.8 (an exact prefix join).
 
-    The order of the shingles only decides how many pairs are compared, not which are
-    found, so it comes from an eighth of the documents. Shingles met in one component
-    only are dropped. A shingle of more than ``block`` sets is dealt out in blocks
-    against blocks, so no task has all its pairs.
+    Sets are joined by couples of shingles that follow each other in the order (``_couples``); texts of one
+    language share many shingles, but few couples. The order only decides how many pairs are compared, not
+    which are found, so it comes from an eighth of the documents. Couples met in one component only are
+    dropped. A couple of more than ``block`` sets is dealt out in blocks against blocks, so no task has all
+    its pairs.
     """
     spark = texts.sparkSession
     some = texts.filter(F.pmod(F.xxhash64("doc_id"), F.lit(8)) == 0).select("doc_id", "text")
-    counts = some.mapInArrow(_usual(words), "token long").groupBy("token").count().filter("count > 1")
-    top = counts.orderBy(F.desc("count"), "token").limit(listed).toPandas()
-    tokens = top["token"].to_numpy(np.int64).view(np.uint64)
-    by_hash = np.argsort(tokens)
-    usual = spark.sparkContext.broadcast((tokens[by_hash], len(tokens) - by_hash))
+    counts = stored(some.mapInArrow(_usual(words), "token long").groupBy("token").count().filter("count > 1"), "counts")
+    usual = spark.sparkContext.broadcast(_listed(counts, listed))
     heads = texts.select("doc_id", "text").mapInArrow(_prefixes(words, usual), "node long, n long, tokens array<long>")
     heads = stored(heads.join(nodes.select("node", "n"), ["node", "n"], "left_semi").join(roots, "node", "left"), "heads")
     posts = heads.select("node", F.coalesce("root", "node").alias("root"), "n", F.posexplode("tokens").alias("pos", "token"))
-    mixed = posts.groupBy("token").agg(
+    mixed = stored(posts.groupBy("token").agg(
         F.min("root").alias("one"), F.max("root").alias("other"), F.ceil(F.count("*") / block).cast("int").alias("cuts")
-    ).filter("one <> other").select("token", "cuts")
+    ).filter("one <> other").select("token", "cuts"), "mixed")
     live = stored(posts.join(mixed, "token"), "posts")
     own, every = F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int"), F.explode(F.expr("sequence(0, cuts - 1)"))
     side = ["token", "node", "root", "n", "pos"]
     left = live.select(*side, own.alias("i"), every.alias("j")).toDF("token", "a", "ra", "na", "pa", "i", "j")
     right = live.select(*side, own.alias("j"), every.alias("i")).toDF("token", "b", "rb", "nb", "pb", "j", "i")
-    # 9 * common >= 4 * (na + nb), and no more than the rest of either set is common
+    # couples in common >= (na + nb) / 3, and no more than the rest of either set's are
     pairs = left.join(right, ["token", "i", "j"]).filter(
-        "a < b and ra <> rb and 9 * least(na - pa, nb - pb) >= 4 * (na + nb)"
+        "a < b and ra <> rb and 5 * least(na, nb) >= 4 * greatest(na, nb) and 3 * least(na - pa, nb - pb) >= na + nb"
     )
     pairs = stored(pairs.select("a", "b").distinct(), "rest")
-    release(heads, live)
+    release(counts, heads, mixed, live)
     return pairs
 
 

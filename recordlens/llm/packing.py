@@ -81,9 +81,8 @@ def pack(
     of two. A sequence's cost is the sum over its pieces of
     ``linear * n + quadratic * n ** 2`` (attention within a document only).
 
-    Ids come from the compiled tokenizer, whose transitions the tokenizers library
-    computes. With ``keep`` a worker holds it for later tasks; without, each task begins
-    with what was learned once from a bounded sample of texts, and drops the rest.
+    Ids come from pieces that the tokenizers library encodes. With ``keep`` a worker holds them for later
+    tasks; without, each task begins with those of a bounded sample of texts, and drops them at its end.
 
     A null or empty text is the end id alone; a null id stays null; repeated rows
     are packed one by one; an empty table gives no rows; other columns are ignored.
@@ -92,7 +91,7 @@ def pack(
     if capacity & (capacity - 1):
         raise ValueError("capacity must be a power of two")
     end = np.array([end_id], "<u4").tobytes()
-    start = None if keep else learned(docs, tokenizer, text_col)
+    start = None if keep else learned(docs, tokenizer, text_col, False)
 
     def rows(group, base):
         pieces, sizes, costs = assign([len(b) // 4 for _, b in group], capacity, linear, quadratic)
@@ -108,7 +107,7 @@ def pack(
         return pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=names), len(sizes)
 
     def run(batches):
-        enc = transducer(tokenizer, start)
+        enc = transducer(tokenizer, start, False)
         base = TaskContext.get().partitionId() << 40
         group, tokens = [], 0
         for block in in_blocks(batches):

@@ -69,7 +69,7 @@ class Pieces(dict):
     replaces the older one, and those that are met again come over.
     """
 
-    def __init__(self, model, name: dict, most: int = 300_000, longest: int = 64):
+    def __init__(self, model, name: dict, most: int = 600_000, longest: int = 64):
         super().__init__()
         self.model, self.name, self.most, self.longest = model, name, most, longest
         self.older: tuple[dict, array, list] = ({}, array("I"), [0])
@@ -120,8 +120,10 @@ class _State:
     __slots__ = ("kind", "rep", "last", "upto", "lone", "blanks")
 
 
-class Transducer:
-    def __init__(self, path: str, max_states: int = 200_000, max_symbols: int = 400):
+class Encoder:
+    """Ids of whole texts by their pieces; has no states, so it is made soon and stays small."""
+
+    def __init__(self, path: str, most: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -145,9 +147,43 @@ class Transducer:
             and all(c in vocab for c in CONTRACTIONS)
             and all(names[ord(b)] in vocab for b in _BLANKS)
         )
+        if self.compiled:
+            self.name = str.maketrans({chr(b): n for b, n in enumerate(names)})
+            self.pieces = Pieces(self.library.model, self.name, most)
+
+    def snapshot(self) -> dict:
+        return {"pieces": self.pieces.kept()}
+
+    def restore(self, base: dict) -> None:
+        """Starts from a ``snapshot`` of the same file."""
+        self.pieces.older = base["pieces"]
+
+    def plain(self, text: str) -> bool:
+        """Whether the transducer covers the text: no special string, no unusual blank."""
+        if any(s in text for s in self.special):
+            return False
+        return text.isascii() or not _ODD_BLANKS.search(text)
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of texts: pieces by the word pattern, each new one encoded by the library's model and kept."""
+        if not self.compiled:
+            return [np.array(e.ids, "<u4") for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        fits = [self.plain(t) for t in texts]
+        got = iter(self.pieces.encode([t for t, f in zip(texts, fits) if f]))
+        rest = [t for t, f in zip(texts, fits) if not f]
+        other = iter(self.library.encode_batch_fast(rest, add_special_tokens=False))
+        return [next(got) if f else np.array(next(other).ids, "<u4") for f in fits]
+
+
+class Transducer(Encoder):
+    """The encoder with the states that count tokens."""
+
+    def __init__(self, path: str, max_states: int = 200_000, max_symbols: int = 400):
+        super().__init__(path)
         if not self.compiled:
             return
-        self.name = str.maketrans({chr(b): n for b, n in enumerate(names)})
+        vocab = self.library.get_vocab()
+        names = _byte_names()
         back = {n: b for b, n in enumerate(names)}
         self.lone_id = {b: vocab[names[ord(b)]] for b in _BLANKS}
         size = 1 + max(vocab.values())
@@ -172,7 +208,6 @@ class Transducer:
         self.max_states, self.max_symbols = max_states, max_symbols
         self.classes: dict[str, str] = {}
         self.base: dict | None = None
-        self.pieces = Pieces(self.library.model, self.name)
         self._reset()
 
     # ---- compilation
@@ -214,13 +249,13 @@ class Transducer:
             "digests": b"".join(digests), "chars": list(self.chars), "rows": at[0].astype(np.int32),
             "symbols": at[1].astype(np.int16), "steps": self.table[at],
             "tops": self.tops[: len(every)].copy(), "flags": self.flags[: len(every)].copy(),
-            "pieces": self.pieces.kept(),
+            **super().snapshot(),
         }
 
     def restore(self, base: dict) -> None:
         """Starts from a ``snapshot`` of a transducer of the same file, also when the states are dropped."""
+        super().restore(base)
         self.base = base
-        self.pieces.older = base["pieces"]
         self._reset()
 
     def _load(self, base: dict) -> None:
@@ -500,12 +535,6 @@ class Transducer:
         np.add.at(counts, owner, change)
         return counts, codes, trace
 
-    def plain(self, text: str) -> bool:
-        """Whether the transducer covers the text: no special string, no unusual blank."""
-        if any(s in text for s in self.special):
-            return False
-        return text.isascii() or not _ODD_BLANKS.search(text)
-
     def counts(self, texts: list[str]) -> list[int]:
         if not self.compiled:
             return [len(e) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -515,26 +544,17 @@ class Transducer:
         other = (len(e) for e in self.library.encode_batch_fast(rest, add_special_tokens=False))
         return [next(got if f else other) for f in fits]
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of texts: pieces by the word pattern, each new one encoded by the library's model and kept."""
-        if not self.compiled:
-            return [np.array(e.ids, "<u4") for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-        fits = [self.plain(t) for t in texts]
-        got = iter(self.pieces.encode([t for t, f in zip(texts, fits) if f]))
-        rest = [t for t, f in zip(texts, fits) if not f]
-        other = iter(self.library.encode_batch_fast(rest, add_special_tokens=False))
-        return [next(got) if f else np.array(next(other).ids, "<u4") for f in fits]
 
-
-_MADE: dict[str, Transducer] = {}
+_MADE: dict[str, Encoder] = {}
 # states of a sample and of a worker that begins with it; such workers stand beside those of other stages
 SAMPLE_STATES, SHARED_STATES = 60_000, 80_000
+SHARED_PIECES = 100_000
 
 
-def learned(docs, tokenizer: str, text_col: str = "text", rows: int = 1500, size: int = 4_000_000):
+def learned(docs, tokenizer: str, text_col: str = "text", counting: bool = True, rows: int = 1500, size: int = 4_000_000):
     """What a transducer learns from a bounded sample of texts, as a broadcast for all workers; None if it cannot.
 
-    Each worker would compute the same common transitions anew. The sample (``rows`` texts,
+    Each worker would compute the same common transitions anew (without ``counting``, ids of common pieces only). The sample (``rows`` texts,
     ``size`` characters at most, of the first partition that has any) only saves that work: what
     it lacks is computed where it is met, and results do not depend on it. One task learns; the
     driver passes on the bytes of what it learned, which are bounded by the states.
@@ -551,15 +571,16 @@ def learned(docs, tokenizer: str, text_col: str = "text", rows: int = 1500, size
             if not texts:
                 continue
             if machine is None:
-                machine = Transducer(tokenizer, max_states=SAMPLE_STATES)
+                machine = Transducer(tokenizer, max_states=SAMPLE_STATES) if counting else Encoder(tokenizer, SHARED_PIECES)
             if not machine.compiled:
                 break
             texts = [t for t in texts[: rows - count] if machine.plain(t)]
             for at in range(0, len(texts), 256):
-                if len(machine.states) > machine.max_states - 10_000 or total >= size:
+                if counting and len(machine.states) > machine.max_states - 10_000 or total >= size:
                     break
                 part = texts[at : at + 256]
-                machine.run(part)
+                if counting:
+                    machine.run(part)
                 machine.pieces.encode(part)
                 count, total = count + len(part), total + sum(map(len, part))
         if machine is not None:
@@ -573,14 +594,18 @@ def learned(docs, tokenizer: str, text_col: str = "text", rows: int = 1500, size
     return docs.sparkSession.sparkContext.broadcast(bytes(found[0]))
 
 
-def transducer(path: str, start=None) -> Transducer:
-    """One transducer for each Python worker, from what was ``learned`` if that is given."""
-    if path not in _MADE:
-        machine = Transducer(path) if start is None else Transducer(path, max_states=SHARED_STATES)
-        if start is not None and machine.compiled:
-            machine.restore(pickle.loads(start.value))
-        _MADE[path] = machine
-    return _MADE[path]
+def transducer(path: str, start=None, counting: bool = True) -> Encoder:
+    """One transducer for each Python worker, from what was ``learned`` if that is given; ids need no ``counting``."""
+    made = _MADE.get(path)
+    if made is None or counting and not isinstance(made, Transducer):
+        if counting:
+            made = Transducer(path) if start is None else Transducer(path, max_states=SHARED_STATES)
+        else:
+            made = Encoder(path) if start is None else Encoder(path, SHARED_PIECES)
+        if start is not None and made.compiled:
+            made.restore(pickle.loads(start.value))
+        _MADE[path] = made
+    return made
 
 
 def forget(path: str) -> None:

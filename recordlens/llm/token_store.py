@@ -42,11 +42,11 @@ class WaveletMatrix:
         level = place.astype(wide)[ids] if n else np.zeros(0, wide)
         zeros, planes = [], []
         for b in range(max(0, len(alphabet) - 1).bit_length() - 1, -1, -1):
-            bit = (level >> wide(b) & wide(1)).astype(bool)
+            bit = (level & wide(1 << b)).astype(bool)
             planes.append(np.packbits(bit, bitorder="little"))
-            front = level[~bit]
-            zeros.append(len(front))
-            level = np.concatenate([front, level[bit]])
+            back = np.flatnonzero(bit)  # taking by place is faster than by mask
+            zeros.append(n - len(back))
+            level = np.concatenate([level[np.flatnonzero(~bit)], level[back]])
         return cls(n, alphabet, np.array(zeros, "<u4"), planes)
 
     def to_bytes(self) -> bytes:
@@ -145,11 +145,11 @@ class WaveletMatrix:
         wide = np.uint16 if len(self.alphabet) <= 1 << 16 else np.uint32
         level = np.zeros(self.n, wide)
         for k in range(len(self.planes) - 1, -1, -1):
-            bit = np.unpackbits(self.planes[k], count=self.n, bitorder="little").astype(bool)
+            bit = np.unpackbits(self.planes[k], count=self.n, bitorder="little").view(bool)
             z = int(self.zeros[k])
             out = np.empty_like(level)
-            out[~bit] = level[:z]
-            out[bit] = level[z:] | wide(1 << (len(self.planes) - 1 - k))
+            out[np.flatnonzero(~bit)] = level[:z]
+            out[np.flatnonzero(bit)] = level[z:] | wide(1 << (len(self.planes) - 1 - k))
             level = out
         return self.alphabet[level] if len(self.alphabet) else level.astype("<u4")
 
@@ -174,8 +174,8 @@ def write(
 
     Shards are ranges of ``doc_id``; a file holds blocks of whole documents with at
     least ``block_ids`` token ids (the last may be smaller), each a wavelet matrix
-    with the documents' ids and token counts. Ids come from the compiled tokenizer, whose
-    transitions the tokenizers library computes. Files are Parquet, so any store that
+    with the documents' ids and token counts. Ids come from pieces that
+    the tokenizers library encodes. Files are Parquet, so any store that
     Spark writes will do. The text is shuffled once; memory holds a block.
 
     A null or empty text is the end id alone. Null ids come first; equal ids keep
@@ -185,7 +185,7 @@ def write(
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
-        enc, shard = transducer(tokenizer), TaskContext.get().partitionId()
+        enc, shard = transducer(tokenizer, None, False), TaskContext.get().partitionId()
         names = [c.split()[0] for c in BLOCKS.split(", ")]
         ids, sizes, parts, total, first, block = [], [], [], 0, 0, 0
 
